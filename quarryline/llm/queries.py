@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format
+from quarryline.llm import chat_format, url_filter
 from quarryline.llm.common import read
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page URLs."""
+    return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings, formatted and read back."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -17,6 +22,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_url_filter": op4_url_filter,
     "op10_chat_format": op10_chat_format,
 }
 
