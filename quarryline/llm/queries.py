@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, url_filter
+from quarryline.llm import chat_format, packing, url_filter
 from quarryline.llm.common import read
 
 
@@ -13,6 +13,18 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
 
 
+def word_vocabulary() -> str:
+    """The place of the vocabulary file on this machine and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed into sequences of 4096 tokens."""
+    return packing.pack(packing.tokenise(read(spark, sf_dir, "documents"), word_vocabulary()))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings, formatted and read back."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -23,6 +35,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_url_filter": op4_url_filter,
+    "op7_packing": op7_packing,
     "op10_chat_format": op10_chat_format,
 }
 
