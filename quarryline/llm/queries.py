@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, packing, url_filter
+from quarryline.llm import chat_format, license_scan, packing, url_filter
 from quarryline.llm.common import read
 
 
@@ -25,6 +25,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenise(read(spark, sf_dir, "documents"), word_vocabulary()))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings, formatted and read back."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -36,6 +41,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op7_packing": op7_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
 }
 
