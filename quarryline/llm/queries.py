@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, license_scan, packing, url_filter
+from quarryline.llm import chat_format, html_extract, license_scan, packing, url_filter
 from quarryline.llm.common import read
 
 
@@ -13,6 +13,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    return html_extract.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def word_vocabulary() -> str:
     """The place of the vocabulary file on this machine and the executors."""
     import public_tokenizers
@@ -40,6 +45,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_url_filter": op4_url_filter,
+    "op5_html_extract": op5_html_extract,
     "op7_packing": op7_packing,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
