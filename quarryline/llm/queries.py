@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, html_extract, license_scan, packing, url_filter
+from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, packing, url_filter
 from quarryline.llm.common import read
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs."""
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
@@ -44,6 +49,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprint": op1_fingerprint,
     "op4_url_filter": op4_url_filter,
     "op5_html_extract": op5_html_extract,
     "op7_packing": op7_packing,
