@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, packing, url_filter
+from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, packing, quality, url_filter
 from quarryline.llm.common import read
 
 
@@ -35,6 +35,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenise(read(spark, sf_dir, "documents"), word_vocabulary()))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and decisions for all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classify(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices in all documents."""
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
@@ -53,6 +59,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_html_extract": op5_html_extract,
     "op7_packing": op7_packing,
+    "op8_quality": op8_quality,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
 }
