@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, packing, quality, url_filter
+from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, near_dup, packing, quality, url_filter
 from quarryline.llm.common import read
 
 
@@ -30,6 +30,11 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, by shingles of two words."""
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"), size=2)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences of 4096 tokens."""
     return packing.pack(packing.tokenise(read(spark, sf_dir, "documents"), word_vocabulary()))
@@ -58,6 +63,7 @@ QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op4_url_filter": op4_url_filter,
     "op5_html_extract": op5_html_extract,
+    "op6_near_dup": op6_near_dup,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_license_scan": op9_license_scan,
