@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, fingerprint, html_extract, license_scan, near_dup, packing, quality, url_filter
+from quarryline.llm import chat_format, decontaminate, fingerprint, html_extract, license_scan, near_dup, packing, quality, url_filter
 from quarryline.llm.common import read
 
 
@@ -13,6 +13,11 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it holds."""
+    return decontaminate.leaked_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs."""
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
@@ -61,6 +66,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_decontaminate": op2_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_html_extract": op5_html_extract,
     "op6_near_dup": op6_near_dup,
