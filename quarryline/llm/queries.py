@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import chat_format, decontaminate, fingerprint, html_extract, license_scan, near_dup, packing, quality, url_filter
+from quarryline.llm import chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, packing, quality, url_filter
 from quarryline.llm.common import read
 
 
@@ -18,6 +18,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and unigram scores of all documents."""
+    return lm_score.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs."""
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.RULES).drop("url")
@@ -67,6 +72,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_score": op3_lm_score,
     "op4_url_filter": op4_url_filter,
     "op5_html_extract": op5_html_extract,
     "op6_near_dup": op6_near_dup,
