@@ -120,10 +120,10 @@ QUERIES = {
              ranked AS (SELECT q.vec_id, q.label AS want, e.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY round({d.dot("e.embedding", "q.embedding")} / sqrt({d.dot("e.embedding", "e.embedding")}), 9) DESC, e.vec_id) AS k FROM q JOIN embeddings e ON e.vec_id <> q.vec_id),
              first AS (SELECT vec_id, min(CASE WHEN label = want THEN k END) AS r FROM ranked GROUP BY vec_id)
         SELECT round(avg(CASE WHEN r <= 1 THEN 1.0D ELSE 0.0D END), 9) AS hit1, round(avg(CASE WHEN r <= 10 THEN 1.0D ELSE 0.0D END), 9) AS hit10, round(sum(1.0D / r) / count(*), 9) AS mrr FROM first""",
-    # JON-14: suffix match of paths
+    # JON-14: pages whose paths end alike: the first of them ranks
     "join_suffix_theta": lambda d: """
-        WITH paths AS (SELECT page_id, regexp_extract(url, '://[^/]*(/[^?#]*)', 1) AS path FROM pages), gold AS (SELECT DISTINCT regexp_extract(path, '([^/]*)$', 1) AS tail FROM paths WHERE page_id % 40 = 0)
-        SELECT tail, CAST(min(page_id) AS BIGINT) AS first_page, CAST(count(*) AS BIGINT) AS n FROM gold JOIN paths ON regexp_extract(path, '([^/]*)$', 1) = tail WHERE tail <> '' GROUP BY tail""",
+        WITH paths AS (SELECT page_id, regexp_extract(regexp_extract(url, '://[^/]*(/[^?#]*)', 1), '([^/]*)$', 1) AS tail FROM pages)
+        SELECT page_id, first_page, n FROM paths JOIN (SELECT tail AS t, CAST(min(page_id) AS BIGINT) AS first_page, CAST(count(*) AS BIGINT) AS n FROM paths GROUP BY tail) g ON t = tail WHERE tail <> ''""",
     # analogue of the leak scan: documents that hold a benchmark text as it stands
     "insp_benchmark_overlap": lambda d: "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON position(b.text IN d.text) > 0",
     "hsh_sha256": lambda d: f"SELECT doc_id, {d.sha('text')} AS digest FROM documents",
