@@ -1,9 +1,10 @@
 """MinHash near-duplicates with sequential Bayesian verification and exact confirmation.
 
 Documents become sets of word shingles; equal sets are one node from the start, so copies cost one row. Nodes that agree
-on a band of their signatures are candidates. A bucket's candidates are first compared with its smallest node; the links
-found give components, and then only nodes of one bucket that are still in different components are compared with each
-other. Links inside a component cannot change it, so no link that counts is lost and no bucket is expanded into all pairs.
+on a band of their signatures are candidates. A bucket's candidates are first compared with the one of them that meets most
+others; the links found give components, and then only nodes of one bucket that are still in different components are
+compared with each other, in large buckets block by block. Links inside a component cannot change it, so no link that
+counts is lost and no bucket is expanded into all pairs.
 
 A comparison reads both signatures batch by batch and ends when the posterior probability (uniform prior) that the
 similarity reaches the threshold falls below MISS. What survives is confirmed on the full sets. Sets are held as 64-bit hashes
@@ -21,10 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.common import written
+from quarryline.llm.common import arrow_rows, small_side, temporary_tables, written
 from quarryline.llm.components import connected_components
 
-ROWS, BANDS, MISS, LARGE, CACHE = 6, 36, 1e-7, 256, 400_000
+ROWS, BANDS, MISS, LARGE, CACHE = 6, 36, 1e-7, 32, 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,7 +84,10 @@ def least_matches(total: int, threshold: float, miss: float, batch: int) -> list
 
 
 def sketch(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS, whole: bool = False) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set; null if empty) and signature, or the set itself if whole."""
+    """doc_id, n_shingles, node (hash of the set; null if empty), data (the signature, or the set itself if whole) and keys.
+
+    keys holds a hash of each band with its number; none if whole.
+    """
     by = multipliers(bands * rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,9 +101,19 @@ def sketch(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS, who
                     nodes.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64))) if len(own) else None)
                     data.append((raw if whole else signature(own, by).tobytes()) if len(own) else None)
                 ids = pd.array(part.doc_id, dtype="Int64")
-                yield pd.DataFrame({"doc_id": ids, "n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "data": data})
+                keys = [None if whole or d is None else band_keys(np.frombuffer(d, np.uint32).reshape(bands, rows)) for d in data]
+                yield pd.DataFrame({"doc_id": ids, "n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "data": data, "keys": keys})
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, data binary, keys array<long>")
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, data binary")
+
+def band_keys(parts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each band (row) of a signature and the band's number."""
+    out = np.arange(1, len(parts) + 1, dtype=np.uint64)
+    for column in parts.T:
+        out = (out ^ column) * MIX
+        out ^= out >> np.uint64(31)
+    return out.view(np.int64)
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int, miss: float) -> DataFrame:
@@ -123,12 +137,16 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int, bands: int, rows: in
     return both.select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def full_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, data): the whole shingle sets of some nodes (node, doc_id), from their documents' texts."""
+    ids = written(nodes.select("doc_id").distinct(), "ids")
+    texts = docs.select("doc_id", "text").join(small_side(ids), "doc_id", "left_semi")
+    sets = sketch(texts, size, whole=True).where("node is not null")
+    return sets.join(small_side(nodes.select("node")), "node", "left_semi").groupBy("node").agg(F.min("data").alias("data"))
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold: 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = sets.join(nodes, "node", "left_semi").select("doc_id").distinct()
-    full = sketch(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), size, whole=True)
-    full = written(full.where("node is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("data").alias("data")), "sets")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -143,6 +161,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, per
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long")
 
 
+def across(rest: DataFrame, met: DataFrame, full: DataFrame, percent: int, bands: int, rows: int, miss: float) -> DataFrame:
+    """Links (a, b) between different components of large buckets, without a row for each pair.
+
+    Buckets that share nodes form a zone. The nodes outside a zone's largest component, in blocks of about 64, meet all of
+    its nodes, in blocks of about 512: as many rows as nodes times blocks, and each pair of blocks is a task of bounded size.
+    A pair is compared if it shares a band, in one place only, and its exact check happens there too.
+    """
+    total, batch = bands * rows, 36 if (bands * rows) % 36 == 0 else rows
+    need = np.array(least_matches(total, percent / 100, miss, batch))
+    edges = rest.select("lead", "node").distinct()
+    zones = connected_components(edges, "lead", "node").withColumnRenamed("component", "zone")
+    nodes = written(rest.select("node", "component").distinct().join(zones, "node"), "zones")
+    sizes = nodes.groupBy("zone", "component").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("zone").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("m"))
+    sizes = sizes.select("zone", F.col("top.component").alias("main"), F.ceil(F.col("m") / 512).alias("all"), F.ceil((F.col("m") - F.col("top.c")) / 64).alias("few"))
+    nodes = nodes.join(sizes, "zone").withColumn("minor", F.col("component") != F.col("main"))
+    pick = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["zone", "few_block", "all_block", "node", "component", "minor"]
+    left = nodes.where("minor").withColumn("few_block", pick("few")).withColumn("all_block", spread("all")).select(columns)
+    right = nodes.where("few > 0").withColumn("all_block", pick("all")).withColumn("few_block", spread("few")).select(columns)
+    sketches = met.select("node", F.col("data").alias("sig")).join(full.select("node", F.col("data").alias("set")), "node")
+    left, right = (x.join(sketches, "node").select(*columns, "sig", "set").toDF(*columns, "sig", "set").groupBy("zone", "few_block", "all_block") for x in (left, right))
+
+    def run(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(few) and len(many):
+            sig = np.frombuffer(b"".join(many.sig), np.uint32).reshape(-1, total)
+            sets = [np.frombuffer(x, np.uint64) for x in many.set]
+            sizes, nodes = np.array([len(x) for x in sets]), many.node.to_numpy()
+            for node, component, own, data in zip(few.node, few.component, few.sig, few.set, strict=True):
+                mine, own_set = np.frombuffer(own, np.uint32), np.frombuffer(data, np.uint64)
+                n = len(own_set)
+                ok = (many.component.to_numpy() != component) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
+                at = np.flatnonzero(ok & (~many.minor.to_numpy(bool) | (nodes > node)))
+                same = sig[at] == mine
+                ok = same.reshape(len(at), bands, rows).all(axis=2).any(axis=1)
+                ok &= (same.reshape(len(at), total // batch, batch).sum(axis=2).cumsum(axis=1) >= need).all(axis=1)
+                for k in at[ok]:
+                    common = len(np.intersect1d(own_set, sets[k], assume_unique=True))
+                    if 100 * common >= percent * (n + sizes[k] - common):
+                        out.append((node, nodes[k]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return left.cogroup(right).applyInPandas(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, large: int = LARGE
 ) -> DataFrame:
@@ -150,45 +215,76 @@ def near_duplicates(
 
     component_id is the smallest doc_id that links reach, kept tells whether it is the row's own. Texts without words are
     linked with nothing. Rows without doc_id take part in links, but name no component: one alone has a null component_id
-    and is kept. Repeated rows get equal rows. Other columns are left out.
+    and is kept. Repeated rows get equal rows. Other columns are left out. The result is a written table; those that lead to
+    it are deleted.
     """
+    with temporary_tables(docs.sparkSession):
+        return written(_grouped(docs, size, percent, bands, rows, miss, large), "near_duplicates", keep=True)
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, miss: float, large: int) -> DataFrame:
     sketched = written(sketch(docs, size, bands, rows), "sketch")
     held = sketched.where("node is not null")
-    sets = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("data").alias("data"))
+    sets = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("data").alias("data"), F.first("keys").alias("keys"))
     sets = written(sets, "nodes")
 
-    width = 4 * rows
-    keys = F.array(*(F.xxhash64(F.lit(k), F.substring("data", k * width + 1, width)) for k in range(bands)))
-    banded = sets.select("node", F.explode(keys).alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("m")).where("m > 1")
-    members = written(banded.join(buckets, "key"), "members")
+    banded = sets.select("node", F.explode("keys").alias("key"))
+    buckets = written(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
+    members = written(banded.join(small_side(buckets), "key"), "members")
+    # a node that shares its bands with many others stands in the middle of its group: the first to meet them
+    known = members.groupBy("node").agg(F.sum("m").alias("popular"))
+    members = members.join(known, "node")
+    leads = members.groupBy("key").agg(F.max(F.struct("popular", "node")).alias("top")).select("key", F.col("top.node").alias("lead"))
+    members = written(members.join(leads, "key"), "members")
+    met = written(members.select("node").distinct(), "met")
+    met = written(sets.join(small_side(met), "node", "left_semi"), "met")
+    confirmable: dict = {}
+
+    def apart(members: DataFrame, found: DataFrame) -> DataFrame:
+        """The members of buckets whose nodes are not all in one component, with their components."""
+        groups = connected_components(found, "a", "b")
+        sized = members.join(met.select("node", F.col("n_shingles").alias("n")), "node").join(groups, "node", "left")
+        sized = sized.select("key", "node", "lead", "m", "n", "popular", F.coalesce("component", "node").alias("component"))
+        mixed = sized.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+        return written(sized.join(mixed, "key", "left_semi"), "rest")
 
     def links(pairs: DataFrame) -> DataFrame:
-        survivors = written(likely(pairs, sets, percent, bands, rows, miss), "survivors")
-        return written(confirmed(survivors, sets, docs, size, percent), "links")
-
-    first = links(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-    groups = connected_components(first, "a", "b")
-
-    # nodes of one bucket that are still apart
-    sized = members.join(sets.select("node", F.col("n_shingles").alias("n")), "node").join(groups, "node", "left")
-    sized = sized.select("key", "node", "lead", "m", "n", F.coalesce("component", "node").alias("component"))
-    apart = sized.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = written(sized.join(apart, "key", "left_semi").where("node <> lead"), "rest")
-    # large buckets are dealt again by every other band: two nodes over the threshold share a second one
-    again = rest.where(F.col("m") > large).select("node", "key", "n", "component").join(sets.select("node", keys.alias("keys")), "node")
-    again = again.select("node", "n", "component", "key", F.explode("keys").alias("other")).where("key <> other")
-    again = again.select(F.xxhash64("key", "other").alias("key"), "node", "n", "component")
-    near = rest.where(F.col("m") <= large).select("key", "node", "n", "component").unionByName(again)
-    x, y = near.alias("x"), near.alias("y")
+        """The pairs that prove similar. Sets may be large, so they come to Python a few at a time."""
+        survivors = written(likely(pairs, met, percent, bands, rows, miss), "survivors")
+        with arrow_rows(docs.sparkSession, 64):
+            if "full" not in confirmable:
+                confirmable["full"] = written(full_sets(met.select("node", "doc_id"), docs, size), "full")
+            return written(confirmed(survivors, confirmable["full"], percent), "links")
+
+    found = links(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+    rest = apart(members, found)
+    x, y = (rest.where(F.col("m") <= large).alias(k) for k in "xy")
     fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & fits)
     second = links(cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+    third = written(across(rest.where(F.col("m") > large), met, confirmable["full"], percent, bands, rows, miss), "links")
 
-    groups = connected_components(first.unionByName(second), "a", "b")
+    groups = connected_components(found.unionByName(second).unionByName(third), "a", "b")
     named = sets.select("node", "doc_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.select("node", "component").join(names, "component").select("node", "component_id")
     out = held.select("doc_id", "n_shingles", "node").join(named, "node", "left").select("doc_id", "n_shingles", "component_id")
     empty = sketched.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with their columns, of which one of each near-duplicate group stays: that of the smallest doc_id.
+
+    Where doc_id is missing or repeated, rows are numbered first, and the row of the smallest number stays.
+    """
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").take(1)
+    key = "doc_id"
+    rows = docs
+    if unclear:
+        while key in docs.columns:
+            key += "_"
+        rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), size, percent)
+    gone = written(found.where("not kept").select(F.col("doc_id").alias(key)), "gone")
+    return rows.join(small_side(gone), key, "left_anti").select(*docs.columns)
