@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quarryline.llm.common import written
 from quarryline.llm.quality import Lookup, ngrams
 
-DEPTH, BLOCK_BYTES, FOLDS, HELD_OUT = 4, 32 << 20, 7, 2
+DEPTH, BLOCK_BYTES, FOLDS, HELD_OUT = 6, 32 << 20, 7, 2
 WORD, GRAM = 0, 1
 
 

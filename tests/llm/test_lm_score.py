@@ -105,3 +105,15 @@ def test_held_out_text_is_predicted(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = lm.score_documents(docs).where("held_out").collect()
     assert sum(-r.score for r in rows) / math.log10(2) / sum(r.n_bytes + 1 for r in rows) < 4.5
+
+
+def test_the_tree_predicts_held_out_text_better_than_the_unigram(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = lm.score_documents(docs).where("held_out").select("score", "base_score").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_default_depth_against_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices("the straße of É abcdefgh abcdefgi zz".split(), k=rng.randrange(12)))) for i in range(40)]
+    check(spark, [*rows, (50, None), (51, "\x00" * 9 + "q")], lm.DEPTH, block_bytes=300)
