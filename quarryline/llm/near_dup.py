@@ -138,9 +138,11 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int, bands: int, rows: in
 
 
 def full_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(node, data): the whole shingle sets of some nodes (node, doc_id), from their documents' texts."""
+    """(node, data): the whole shingle sets of some nodes (node, doc_id), from their documents' texts; without doc_id, from all such rows'."""
     ids = written(nodes.select("doc_id").distinct(), "ids")
     texts = docs.select("doc_id", "text").join(small_side(ids), "doc_id", "left_semi")
+    if ids.where("doc_id is null").take(1):  # a join matches no null
+        texts = texts.unionByName(docs.select("doc_id", "text").where("doc_id is null"))
     sets = sketch(texts, size, whole=True).where("node is not null")
     return sets.join(small_side(nodes.select("node")), "node", "left_semi").groupBy("node").agg(F.min("data").alias("data"))
 

@@ -76,3 +76,12 @@ def test_signatures_estimate_similarity():
     x = rng.integers(0, 2**63, 1000, dtype=np.uint64)
     a, b = nd.signature(x[:900], by), nd.signature(x[100:], by)
     assert abs((a == b).mean() - 0.8) < 0.12
+
+
+def test_near_copies_without_doc_id_take_part_in_links(spark):
+    words = [f"w{k}" for k in range(100)]
+    text = lambda k: " ".join([*words[: 100 - k], *(f"v{i}" for i in range(k))])
+    rows = [(1, text(0)), (None, text(6)), (2, text(12)), (None, "quite another text than all of these others here"), (None, None)]
+    out = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in out)
+    assert got == [(0, 0, True), (0, 0, True), (0, 1, False), (1, 1, True), (2, 1, False)]
