@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 
 from quarryline.llm.boosting import BoostedTrees
 
-# Elements whose content is never page text, elements that begin a block, and attribute tokens of each kind.
-RAW = "script|style|title|textarea|noscript|template|svg|iframe|object|select|button|math"
+# Elements whose content is no markup and never page text; elements with markup inside that is no page text (controls of
+# forms, and what is not shown); elements that begin a block; attribute tokens of each kind.
+RAW = "script|style|title|textarea|iframe"
+HIDDEN = {"select", "button", "template", "datalist"}
 BLOCKS = "html body main article section header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption form fieldset address details summary dialog menu hgroup center hr".split()
 CLOSED_BY = {
     "p": set(BLOCKS),
@@ -50,12 +52,13 @@ TAGS = ["#text", "p", "div", "section", "article", "main", "body", "ul", "ol", "
 
 BLOCK_SET, KIND_LIST = set(BLOCKS), list(KINDS)
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SPLIT = re.compile(r"[^a-z0-9]+")
+CLOSING = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in HIDDEN}
 
 
 class Node:
@@ -82,9 +85,13 @@ class Node:
 
 
 def parse(page: str) -> Node:
-    """The tree of block nodes; leaves named #text hold runs of text with white space folded and references decoded."""
+    """The tree of block nodes; leaves named #text hold runs of text with white space folded and references decoded.
+
+    Other elements' text (of links, formulas, drawings, fallbacks) is part of the block that it stands in.
+    """
     root = Node("root", None)
     at, run, linked, link = root, [], 0, 0
+    skipped, unclosed = 0, set()
 
     def flush() -> None:
         nonlocal linked
@@ -100,6 +107,8 @@ def parse(page: str) -> Node:
 
     end = 0
     for m in TOKEN.finditer(page):
+        if m.start() < skipped:
+            continue
         if m.start() > end:
             piece = page[end : m.start()]
             run.append(piece)
@@ -110,7 +119,13 @@ def parse(page: str) -> Node:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag == "a":
+        if tag in HIDDEN:
+            if not close and tag not in unclosed and not attributes.endswith("/"):
+                if closing := CLOSING[tag].search(page, end):
+                    skipped = end = closing.end()
+                else:
+                    unclosed.add(tag)  # nothing further on closes it either
+        elif tag == "a":
             link = 0 if close else 1
         elif tag == "br":
             run.append(" ")
@@ -220,7 +235,7 @@ def training_page(rng: random.Random) -> str:
         plain = tag == "div" or rng.random() < 0.35
         tag = rng.choice(["div", "section"]) if plain and kind != "form" else tag
         body = {
-            "nav": lambda: f"<ul>{links(rng.randint(2, 9))}</ul>",
+            "nav": lambda: f"<ul>{links(rng.randint(2, 9))}</ul>" if rng.random() < 0.75 else " &gt; ".join(f"<a href='/{k}'>{words(1)}</a>" for k in range(rng.randint(1, 4))),
             "head": lambda: f"<div><a href='/'>{words(2)}</a></div><p>{words(5)}</p>",
             "foot": lambda: rng.choice([f"&copy; {words(rng.randint(2, 25))}", f"<p>{words(12)}</p><ul>{links(3)}</ul>"]),
             "side": lambda: f"<h3>{words(2)}</h3>" + rng.choice([f"<ul>{links(5)}</ul>", f"<p>{words(rng.randint(8, 50))}</p>"]),

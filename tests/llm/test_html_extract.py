@@ -62,3 +62,54 @@ def test_boosted_trees_learn_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     p = BoostedTrees(trees=30).fit(x[:1500], y[:1500]).probability(x[1500:])
     assert ((p > 0.5) == y[1500:]).mean() > 0.95
+
+
+def article(inner):
+    return f"<nav><ul><li><a href=/>Home</a><li><a href=/news>News</a></ul></nav><article><h1>T</h1>{inner}</article><footer>&copy; us</footer>"
+
+
+def test_nothing_of_an_article_is_lost_to_foreign_or_self_closed_elements():
+    first, second = "<p>First part of the story, as told.</p>", "<p>Second part of the story, as told.</p>"
+    want = "T\nFirst part of the story, as told.\nSecond part of the story, as told."
+    for between in ("<svg-icon></svg-icon>", "<svg width=1 />", "<math/>", "<object data=x />", "<script src=a />", "<style-guide x=1></style-guide>", "<button>", "<select><option>a", "<template-x>", "<iframe src='x'/>", "<titlebar></titlebar>", "<noscript></noscript>"):
+        assert he.extract([article(first + between + second)], he.trained())[0].split("\n")[:3] in (want.split("\n"), [*want.split("\n")[:2], "a Second part of the story, as told."], [*want.split("\n")[:2], "a"]), between
+    got = he.extract([article("<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> follows from this, it is said.</p><p>Read <noscript>without scripts</noscript> on, and <object data=x>as told</object> <svg><text>drawn</text></svg> here.</p>")], he.trained())[0]
+    assert got == "T\nEnergy E=m follows from this, it is said.\nRead without scripts on, and as told drawn here."
+    hidden = "<p>Some of the story, as told. <button type=submit>Send <b>it</b></button><select><option>a</select><template><p>never</p></template> And more of it.</p>"
+    assert he.extract([article(hidden)], he.trained())[0] == "T\nSome of the story, as told. And more of it."
+
+
+#: Pages written by hand after common layouts, with the text that a reader would take.
+BY_HAND = [
+    (
+        "<html><head><title>Weather | The Daily</title></head><body class='home'><header class='site-header'><a href='/'>The Daily</a><nav><a href='/w'>World</a> <a href='/s'>Sport</a></nav></header>"
+        "<main id='content'><div class='breadcrumbs'><a href='/'>Home</a> &gt; <a href='/w'>Weather</a></div><h1>Storm reaches the coast</h1><p>The storm reached the coast on Monday evening, with gusts of up to 120 km/h.</p>"
+        "<div class='advert'>Buy two umbrellas, get one free.</div><p>Trains were stopped for three hours. Nobody was hurt, officials said.</p><h2>What comes next</h2><ul><li>Rain until Wednesday</li><li>Then dry, and warmer</li></ul></main>"
+        "<aside class='sidebar'><h3>Most read</h3><ul><li><a href='/1'>Cat saved</a></li><li><a href='/2'>New bridge</a></li></ul></aside><footer><p>Copyright 2024 The Daily. All rights reserved.</p></footer></body></html>",
+        ["Storm reaches the coast", "The storm reached the coast on Monday evening, with gusts of up to 120 km/h.", "Trains were stopped for three hours. Nobody was hurt, officials said.", "What comes next", "Rain until Wednesday", "Then dry, and warmer"],
+    ),
+    (
+        "<body><div id='cookie-banner'><p>We use cookies to make this site better. You may refuse them.</p><button>OK</button></div><div class='post'><h1 class='entry-title'>How to bake bread</h1>"
+        "<div class='entry-content'><p>Mix flour, water, salt and yeast. Let the dough rest for an hour, or longer.</p><blockquote>Bread is patience, my grandmother said.</blockquote><table><tr><td>Flour</td><td>500 g</td></tr><tr><td>Water</td><td>350 g</td></tr></table>"
+        "<p>Bake it for 40 minutes.</p></div></div><div id='comments' class='comments-area'><h3>2 replies</h3><div class='comment'><p>Great recipe, thanks a lot!</p></div><div class='comment'><p>Mine did not rise, what now?</p></div>"
+        "<form id='commentform'><label>Your name</label><textarea></textarea></form></div><div class='footer'>Impressum</div></body>",
+        ["How to bake bread", "Mix flour, water, salt and yeast. Let the dough rest for an hour, or longer.", "Bread is patience, my grandmother said.", "Flour", "500 g", "Water", "350 g", "Bake it for 40 minutes."],
+    ),
+    (
+        "<body><ul class='menu'><li><a href='a'>Docs</a></li><li><a href='b'>API</a></li></ul><section class='article-body'><h1>Installing</h1><p>Run the installer, then restart the shell.</p><pre>make\nmake install</pre>"
+        "<p>See <a href='c'>the guide</a> for more, or ask on the list.</p></section><div class='newsletter'><p>Subscribe to our newsletter and never miss a release.</p><form><input name='mail'></form></div><footer class='foot'><a href='x'>Imprint</a></footer></body>",
+        ["Installing", "Run the installer, then restart the shell.", "make make install", "See the guide for more, or ask on the list."],
+    ),
+]
+
+
+def test_pages_labelled_by_hand():
+    got = [t.split("\n") for t in he.extract([p for p, _ in BY_HAND], he.trained())]
+    want = [w for _, w in BY_HAND]
+    hit = sum(len(set(g) & set(w)) for g, w in zip(got, want, strict=True))
+    assert hit / sum(map(len, want)) >= 0.95 and hit / sum(map(len, got)) >= 0.95, got
+
+
+def test_very_long_pages_of_tags_take_linear_time():
+    page = article("<p>x, y.</p>" + "<button><select><b>" * 40_000)
+    assert he.extract([page], he.trained())[0].startswith("T\nx, y.")
