@@ -55,9 +55,13 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def small_side(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
-    """A written table of narrow rows as a side to broadcast if it has at most so many; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small_side(df: DataFrame, rows: int = 1 << 18) -> DataFrame:
+    """A written table as a side to broadcast if it has at most so many rows, all of numbers; else as it is, for a shuffled join.
+
+    Rows of up to four numbers of eight bytes come to 8 MB at most.
+    """
+    narrow = len(df.columns) <= 4 and all(kind in ("bigint", "int", "tinyint", "double", "boolean") for _, kind in df.dtypes)
+    return F.broadcast(df) if narrow and df.count() <= rows else df
 
 
 @contextmanager
@@ -73,7 +77,10 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def hashed_sample(df: DataFrame, by: list[str], size: int) -> DataFrame:
-    """About size rows of df, at most twice as many: those whose hash of some columns lies below a limit. No row order matters."""
+    """About size rows of df, different in some columns: those whose hash of them lies below a limit. No row order matters.
+
+    Equal rows count as one, so a large group of copies gives one row at most.
+    """
     share = max(1, df.count()) / size
     cut = F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < int((1 << 30) / max(1.0, share)) + (share <= 1)
-    return df.where(cut).limit(2 * size)
+    return df.where(cut).dropDuplicates(by)
