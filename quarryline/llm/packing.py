@@ -159,7 +159,12 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
-    """Add sequence_id and offset. Each row is placed, repeated ones too; offsets in a sequence are gapless from 0."""
+    """Add sequence_id and offset. Each row is placed, repeated ones too; offsets in a sequence are gapless from 0.
+
+    Pieces of equal length are placed in order of doc_id, piece and ids; equal rows are told apart by nothing, so any of them
+    may stand anywhere. Rows are dealt to shards by their place in the written table, so equal rows spread as others do. An
+    empty table gives an empty result. Other columns are left out.
+    """
     pieces = written(pieces, "pieces")
     shards = max(1, -(-pieces.count() // shard))
 
@@ -170,7 +175,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFra
         rows["bin"] += int(key[0]) << 32
         return rows[["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset"]]
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     placed = written(dealt.groupBy("shard").applyInPandas(place, PIECES + ", bin long, offset long"), "placed")
 
     # sequences with room, placed whole into each other: bins of all shards, dealt anew
