@@ -66,7 +66,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra)))
+    # the digests need each conversation whole
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra), whole=True))
 
 
 QUERIES = {
