@@ -8,13 +8,14 @@ counts is lost and no bucket is expanded into all pairs.
 
 A comparison reads both signatures batch by batch and ends when the posterior probability (uniform prior) that the
 similarity reaches the threshold falls below MISS. What survives is confirmed on the full sets. Sets are held as 64-bit hashes
-of shingles, nodes as 64-bit hashes of sets.
+of shingles. A node is a 64-bit hash of a set; where two sets share it, which a second hash of 64 bits shows, they are nodes
+of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pandas as pd
@@ -84,27 +85,45 @@ def least_matches(total: int, threshold: float, miss: float, batch: int) -> list
 
 
 def sketch(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS, whole: bool = False) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set; null if empty), data (the signature, or the set itself if whole) and keys.
+    """doc_id, n_shingles, node and proof (hashes of the set; null if empty), data (the signature, or the set itself if whole) and keys.
 
     keys holds a hash of each band with its number; none if whole.
     """
-    by = multipliers(bands * rows)
+    by, hash_of = multipliers(bands * rows), set_hash
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for k in range(0, len(batch), 1000):
-                part, nodes, data, sizes = batch.iloc[k : k + 1000], [], [], []
+                part, nodes, proofs, data, sizes = batch.iloc[k : k + 1000], [], [], [], []
                 for text in part.text:
                     own = shingles(text, size)
                     sizes.append(len(own))
                     raw = own.tobytes()
-                    nodes.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64))) if len(own) else None)
+                    node, proof = divmod(hash_of(raw), 1 << 64)
+                    nodes.append(node - (node >> 63 << 64) if len(own) else None)
+                    proofs.append(proof - (proof >> 63 << 64) if len(own) else None)
                     data.append((raw if whole else signature(own, by).tobytes()) if len(own) else None)
                 ids = pd.array(part.doc_id, dtype="Int64")
                 keys = [None if whole or d is None else band_keys(np.frombuffer(d, np.uint32).reshape(bands, rows)) for d in data]
-                yield pd.DataFrame({"doc_id": ids, "n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "data": data, "keys": keys})
+                yield pd.DataFrame({"doc_id": ids, "n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "proof": pd.array(proofs, dtype="Int64"), "data": data, "keys": keys})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, data binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, proof long, data binary, keys array<long>")
+
+
+def set_hash(raw: bytes) -> int:
+    """128 bits of a set's bytes."""
+    return xxhash.xxh3_128_intdigest(raw)
+
+
+def told_apart(sketched: DataFrame) -> tuple[DataFrame, bool]:
+    """sketched with nodes of their own for sets that share a node but not its proof, and whether there are any."""
+    shared = sketched.where("node is not null").groupBy("node").agg(F.min("proof").alias("x"), F.max("proof").alias("y"))
+    shared = written(shared.where("x <> y").select("node", F.lit(True).alias("shared")), "shared")
+    if not shared.take(1):
+        return sketched, False
+    out = sketched.join(small_side(shared), "node", "left")
+    own = F.when(F.col("shared"), F.xxhash64("node", "proof")).otherwise(F.col("node"))
+    return written(out.withColumn("node", own).select(sketched.columns), "sketch"), True
 
 
 def band_keys(parts: np.ndarray) -> np.ndarray:
@@ -137,13 +156,18 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int, bands: int, rows: in
     return both.select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long")
 
 
-def full_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(node, data): the whole shingle sets of some nodes (node, doc_id), from their documents' texts; without doc_id, from all such rows'."""
+def full_sets(nodes: DataFrame, docs: DataFrame, size: int, clashing: bool = False) -> DataFrame:
+    """(node, data): the whole shingle sets of some nodes (node, doc_id), from their documents' texts; without doc_id, from all such rows'.
+
+    clashing: some sets share a hash and have nodes of their own.
+    """
     ids = written(nodes.select("doc_id").distinct(), "ids")
     texts = docs.select("doc_id", "text").join(small_side(ids), "doc_id", "left_semi")
     if ids.where("doc_id is null").take(1):  # a join matches no null
         texts = texts.unionByName(docs.select("doc_id", "text").where("doc_id is null"))
     sets = sketch(texts, size, whole=True).where("node is not null")
+    if clashing:
+        sets = sets.unionByName(sets.withColumn("node", F.xxhash64("node", "proof")))
     return sets.join(small_side(nodes.select("node")), "node", "left_semi").groupBy("node").agg(F.min("data").alias("data"))
 
 
@@ -166,45 +190,57 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def across(rest: DataFrame, met: DataFrame, full: DataFrame, percent: int, bands: int, rows: int, miss: float) -> DataFrame:
     """Links (a, b) between different components of large buckets, without a row for each pair.
 
-    Buckets that share nodes form a zone. The nodes outside a zone's largest component, in blocks of about 64, meet all of
-    its nodes, in blocks of about 512: as many rows as nodes times blocks, and each pair of blocks is a task of bounded size.
-    A pair is compared if it shares a band, in one place only, and its exact check happens there too.
+    A bucket's nodes are laid in cells by the logarithm of their set's size, so that similar ones are at most one cell apart. The
+    nodes outside the bucket's largest component, in blocks of about 64, meet the nodes of these cells, in blocks of about
+    512: as many rows as nodes times blocks, and each pair of blocks is a task of bounded size. A pair is compared in the
+    first band that it shares, and its exact check happens there too, unless links of this block already join the two.
     """
     total, batch = bands * rows, 36 if (bands * rows) % 36 == 0 else rows
     need = np.array(least_matches(total, percent / 100, miss, batch))
-    edges = rest.select("lead", "node").distinct()
-    zones = connected_components(edges, "lead", "node").withColumnRenamed("component", "zone")
-    nodes = written(rest.select("node", "component").distinct().join(zones, "node"), "zones")
-    sizes = nodes.groupBy("zone", "component").agg(F.count("*").alias("c"))
-    sizes = sizes.groupBy("zone").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("m"))
-    sizes = sizes.select("zone", F.col("top.component").alias("main"), F.ceil(F.col("m") / 512).alias("all"), F.ceil((F.col("m") - F.col("top.c")) / 64).alias("few"))
-    nodes = nodes.join(sizes, "zone").withColumn("minor", F.col("component") != F.col("main"))
+    counts = rest.groupBy("key", "component").agg(F.count("*").alias("c"))
+    main = counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
+    cell = F.floor(F.ln("n") / (max(log(100 / percent), 1e-6) * (1 + 1e-9))).cast("int")
+    nodes = rest.join(main, "key").select("key", cell.alias("cell"), "node", "component", (F.col("component") != F.col("main")).alias("minor"))
+    nodes = written(nodes, "apart")
+    few = nodes.where("minor").withColumn("cell", F.explode(F.array(*(F.col("cell") + k for k in (-1, 0, 1)))))
+    sizes = few.groupBy("key", "cell").agg(F.ceil(F.count("*") / 64).alias("few"))
+    sizes = sizes.join(nodes.groupBy("key", "cell").agg(F.ceil(F.count("*") / 512).alias("all")), ["key", "cell"])
     pick = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["zone", "few_block", "all_block", "node", "component", "minor"]
-    left = nodes.where("minor").withColumn("few_block", pick("few")).withColumn("all_block", spread("all")).select(columns)
-    right = nodes.where("few > 0").withColumn("all_block", pick("all")).withColumn("few_block", spread("few")).select(columns)
+    columns = ["key", "cell", "few_block", "all_block", "node", "component", "minor"]
+    left = few.join(sizes, ["key", "cell"]).withColumn("few_block", pick("few")).withColumn("all_block", spread("all")).select(columns)
+    right = nodes.join(sizes, ["key", "cell"]).withColumn("all_block", pick("all")).withColumn("few_block", spread("few")).select(columns)
     sketches = met.select("node", F.col("data").alias("sig")).join(full.select("node", F.col("data").alias("set")), "node")
-    left, right = (x.join(sketches, "node").select(*columns, "sig", "set").toDF(*columns, "sig", "set").groupBy("zone", "few_block", "all_block") for x in (left, right))
+    left, right = (x.join(sketches, "node").select(*columns, "sig", "set").toDF(*columns, "sig", "set").groupBy(columns[:4]) for x in (left, right))
+
+    def run(key: tuple, few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
+        out, root = [], {}
+
+        def joined(c: int) -> int:
+            while (up := root.get(c, c)) != c:
+                c = up
+            return c
 
-    def run(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(few) and len(many):
             sig = np.frombuffer(b"".join(many.sig), np.uint32).reshape(-1, total)
             sets = [np.frombuffer(x, np.uint64) for x in many.set]
-            sizes, nodes = np.array([len(x) for x in sets]), many.node.to_numpy()
+            sizes, nodes, components = np.array([len(x) for x in sets]), many.node.to_numpy(), many.component.to_numpy()
             for node, component, own, data in zip(few.node, few.component, few.sig, few.set, strict=True):
                 mine, own_set = np.frombuffer(own, np.uint32), np.frombuffer(data, np.uint64)
-                n = len(own_set)
-                ok = (many.component.to_numpy() != component) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
+                n, here = len(own_set), np.flatnonzero(band_keys(mine.reshape(bands, rows)) == key[0])[0]
+                ok = (components != component) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent)
                 at = np.flatnonzero(ok & (~many.minor.to_numpy(bool) | (nodes > node)))
                 same = sig[at] == mine
-                ok = same.reshape(len(at), bands, rows).all(axis=2).any(axis=1)
+                ok = ~same[:, : here * rows].reshape(len(at), here, rows).all(axis=2).any(axis=1)
                 ok &= (same.reshape(len(at), total // batch, batch).sum(axis=2).cumsum(axis=1) >= need).all(axis=1)
-                for k in at[ok]:
+                for k in at[ok].tolist():
+                    x, y = joined(component), joined(int(components[k]))
+                    if x == y:
+                        continue
                     common = len(np.intersect1d(own_set, sets[k], assume_unique=True))
                     if 100 * common >= percent * (n + sizes[k] - common):
                         out.append((node, nodes[k]))
+                        root[y] = x
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return left.cogroup(right).applyInPandas(run, "a long, b long")
@@ -225,7 +261,7 @@ def near_duplicates(
 
 
 def _grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, miss: float, large: int) -> DataFrame:
-    sketched = written(sketch(docs, size, bands, rows), "sketch")
+    sketched, clashing = told_apart(written(sketch(docs, size, bands, rows), "sketch"))
     held = sketched.where("node is not null")
     sets = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("data").alias("data"), F.first("keys").alias("keys"))
     sets = written(sets, "nodes")
@@ -255,7 +291,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, mi
         survivors = written(likely(pairs, met, percent, bands, rows, miss), "survivors")
         with arrow_rows(docs.sparkSession, 64):
             if "full" not in confirmable:
-                confirmable["full"] = written(full_sets(met.select("node", "doc_id"), docs, size), "full")
+                confirmable["full"] = written(full_sets(met.select("node", "doc_id"), docs, size, clashing), "full")
             return written(confirmed(survivors, confirmable["full"], percent), "links")
 
     found = links(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())

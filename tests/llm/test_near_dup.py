@@ -85,3 +85,20 @@ def test_near_copies_without_doc_id_take_part_in_links(spark):
     out = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in out)
     assert got == [(0, 0, True), (0, 0, True), (0, 1, False), (1, 1, True), (2, 1, False)]
+
+
+def test_sets_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """With a node hash of a few values only, the second hash still tells all sets apart."""
+    own = nd.xxhash.xxh3_128_intdigest
+    monkeypatch.setattr(nd, "set_hash", lambda raw: own(raw) % (1 << 64) | (own(raw) >> 64) % 3 << 64)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base[i % 4 :], f"x{i // 2}"]) if i % 3 else f"alone {i} a b c d") for i in range(30)] + [(40, "alone 0 a b c d"), (41, None)]
+    got = nd.near_duplicates(spark.createDataFrame(rows, SCHEMA), size=2).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 2, 80))
+
+
+def test_recall_on_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for size in (2, 5):
+        got = nd.near_duplicates(docs, size=size).collect()
+        assert sorted(tuple(r) for r in got) == sorted(brute([tuple(r) for r in docs.collect()], size, 80))
