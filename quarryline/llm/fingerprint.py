@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarryline.llm.common import written
+from quarryline.llm.common import small_side, written
 
 # Static methods of the Unicode library that Spark's collations come with.
 NORMALIZER, CHARACTERS = "com.ibm.icu.text.Normalizer", "com.ibm.icu.lang.UCharacter"
@@ -38,39 +38,90 @@ def text_rows(docs: DataFrame) -> DataFrame:
     return rows.withColumn("r", F.xxhash64("text"))
 
 
-def with_next(rows: DataFrame, per_bucket: int = 64) -> DataFrame:
-    """Add next_id, next_r and next_text: the row that follows in descending (doc_id, text) order, the first after the last.
+def rising_buckets(rows: DataFrame, per_bucket: int, segments: int) -> tuple[dict, dict, Column, int]:
+    """Columns to add in two steps, a bucket number from them that rises with (doc_id, r), and how many buckets there are.
 
-    Rows are dealt to ranges of doc_id of about per_bucket rows; a range's last row takes the first of the next range that
-    has rows, which is found over ranges and then ranges of ranges, so no task sees all rows. Rows without doc_id stand
-    outside the circle and have no next row.
+    A bucket has about per_bucket rows.
+
+    Quantiles of doc_id cut the ids into segments, each of which has buckets of equal width between its least and greatest id;
+    an id so frequent that it fills a segment is dealt by r. What the driver sees is bounded by segments.
     """
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = max(1, ((high or 0) - (low or 0)) // max(1, n // per_bucket) + 1)
-    rows = rows.withColumn("bucket", F.expr(f"doc_id div {width}L"))
-    w = Window.partitionBy("bucket").orderBy(F.desc("doc_id"), F.desc("text"))
-    within = rows.withColumns(
-        {"next_id": F.lead("doc_id").over(w), "next_r": F.lead("r").over(w), "next_text": F.lead("text").over(w), "k": F.row_number().over(w)}
-    )
-    # the first row of each range: ids alone over all ranges, then its text
-    heads = rows.where("bucket is not null").groupBy("bucket").agg(F.max(F.struct("doc_id", "text")).alias("head"))
-    heads = heads.select("bucket", F.col("head.doc_id").alias("h_id"), F.col("head.text").alias("h_text"), F.xxhash64("head.text").alias("h_r"))
-    keys = heads.select("bucket", F.expr("bucket div 4096").alias("super"))
-    ws = Window.partitionBy("super").orderBy(F.desc("bucket"))
-    after = keys.withColumn("next_bucket", F.lead("bucket").over(ws))
-    tops = keys.groupBy("super").agg(F.max("bucket").alias("top"))
-    wt = Window.orderBy(F.desc("super"))
-    tops = tops.select("super", F.coalesce(F.lead("top").over(wt), F.first("top").over(wt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next_top"))
-    after = after.join(tops, "super").select("bucket", F.coalesce("next_bucket", "next_top").alias("next_bucket"))
-    follow = after.join(heads.withColumnRenamed("bucket", "next_bucket"), "next_bucket").select("bucket", "h_id", "h_text", "h_r")
-    last = within.join(follow, "bucket", "left")
+    n = rows.count()
+    segments = max(1, min(segments, n // per_bucket))
+    cuts = rows.agg(F.percentile_approx("doc_id", F.lit([k / segments for k in range(1, segments + 1)]), F.lit(20 * segments)).alias("q")).first().q or []
+    often = {a for a, b in zip(cuts, cuts[1:], strict=False) if a == b}
+    starts = sorted(set(cuts) | {a + 1 for a in often if a < 2**63 - 1})
+    steps = [1 << k for k in range(len(starts).bit_length() - 1, -1, -1)]
+    held = F.lit(starts) if starts else F.array().cast("array<bigint>")
+    # the number of starts that are not above the id, by bisection
+    segment = F.aggregate(F.lit(steps or [1]), F.lit(0), lambda at, s: F.when(F.get(held, at + s - 1) <= F.col("doc_id"), at + s).otherwise(at))
+    found = {r.s: r for r in rows.groupBy(segment.alias("s")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).collect()}
+    low, width, parts, base, total = [], [], [], [], 0
+    for s in range(len(starts) + 1):
+        r = found.get(s)
+        buckets = max(1, (r.n if r else 0) // per_bucket)
+        alone = bool(r) and r.low == r.high
+        low.append(r.low if r else 0)
+        width.append(1 if not r or alone else (r.high - r.low) // buckets + 1)
+        parts.append(buckets if alone else 0)
+        base.append(total)
+        total += buckets + 1
+    of = lambda values: F.get(F.lit(values).cast("array<bigint>"), F.col("s"))
+    by_id = F.expr("(doc_id - low) div width")
+    by_r = F.least(F.floor((F.col("r") / F.lit(2.0**64) + 0.5) * F.col("parts")), F.col("parts") - 1)
+    sub = F.when(F.col("parts") > 0, by_r).otherwise(by_id)
+    return {"s": segment}, {"low": of(low), "width": of(width), "parts": of(parts), "base": of(base)}, F.col("base") + sub, total
+
+
+def following(keys: DataFrame, count: int, fan: int = 4096) -> DataFrame:
+    """(b, next_b) of distinct numbers b below count: the next smaller one there is, the greatest after the smallest."""
+    if count <= fan:  # at most fan rows
+        w = Window.orderBy(F.desc("b"))
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return keys.select("b", F.coalesce(F.lead("b").over(w), F.first("b").over(whole)).alias("next_b"))
+    keys = keys.withColumn("upper", F.expr(f"b div {fan}"))
+    after = keys.withColumn("next_b", F.lead("b").over(Window.partitionBy("upper").orderBy(F.desc("b"))))
+    tops = keys.groupBy("upper").agg(F.max("b").alias("top"))
+    over = following(tops.select(F.col("upper").alias("b")), -(-count // fan), fan).withColumnsRenamed({"b": "upper", "next_b": "next_upper"})
+    over = over.join(tops.withColumnRenamed("upper", "next_upper"), "next_upper").select("upper", "top")
+    return after.join(over, "upper").select("b", F.coalesce("next_b", "top").alias("next_b"))
+
+
+def with_next(rows: DataFrame, per_bucket: int = 64, segments: int = 1024, many: int = 256) -> DataFrame:
+    """Add next_id, next_r and next_text: the row that follows in descending (doc_id, r) order, the first after the last.
+
+    Rows are dealt to buckets of neighbours of about per_bucket rows; a bucket's last row takes the first of the next bucket
+    that has rows, which is found over buckets, buckets of buckets and so on, so no task sees all rows. Rows without doc_id
+    stand outside the circle and have no next row. A row that occurs more than many times stands in the circle once; its other
+    copies, which no bucket could part, follow each other.
+    """
+    none = {"next_id": F.lit(None).cast("long"), "next_r": F.lit(None).cast("long"), "next_text": F.lit(None).cast("string")}
+    outside = rows.where("doc_id is null").withColumns(none)
+    rows = rows.where("doc_id is not null")
+    repeated = written(rows.groupBy("doc_id", "r").agg(F.count("*").alias("n")).where(F.col("n") > many).select("doc_id", "r"), "repeated")
+    if repeated.take(1):
+        side = small_side(repeated)
+        grouped = rows.join(side, ["doc_id", "r"], "left_semi").groupBy("doc_id", "text", "r").agg(F.count("*").alias("n"))
+        own = {"next_id": F.col("doc_id"), "next_r": F.col("r"), "next_text": F.col("text"), "copy": F.explode(F.sequence(F.lit(2), F.col("n")))}
+        outside = outside.unionByName(grouped.where("n > 1").withColumns(own).drop("n", "copy"))
+        rows = rows.join(side, ["doc_id", "r"], "left_anti").select("doc_id", "text", "r").unionByName(grouped.drop("n"))
+    segment, values, bucket, count = rising_buckets(rows.select("doc_id", "r"), per_bucket, segments)
+    rows = rows.withColumns(segment).withColumns(values).select("doc_id", "text", "r", bucket.cast("long").alias("b"))
+    w = Window.partitionBy("b").orderBy(F.desc("doc_id"), F.desc("r"), F.desc("text"))
+    within = rows.withColumns({"next_id": F.lead("doc_id").over(w), "next_r": F.lead("r").over(w), "next_text": F.lead("text").over(w)})
+    # the first row of each bucket
+    heads = rows.groupBy("b").agg(F.max(F.struct("doc_id", "r", "text")).alias("head"))
+    heads = heads.select(F.col("b").alias("next_b"), F.col("head.doc_id").alias("h_id"), F.col("head.text").alias("h_text"), F.col("head.r").alias("h_r"))
+    after = following(rows.select("b").distinct(), count)
+    last = within.join(after.join(heads, "next_b").drop("next_b"), "b", "left")
     own = F.col("next_id").isNotNull()
-    return last.select(
+    inside = last.select(
         "doc_id", "text", "r",
         F.coalesce("next_id", "h_id").alias("next_id"),
         F.when(own, F.col("next_r")).otherwise(F.col("h_r")).alias("next_r"),
         F.when(own, F.col("next_text")).otherwise(F.col("h_text")).alias("next_text"),
     )
+    return inside.unionByName(outside)
 
 
 def edited_text(text: Column, following: Column) -> Column:

@@ -3,6 +3,8 @@ import random
 import re
 import unicodedata
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quarryline.llm import fingerprint as fp
@@ -15,8 +17,13 @@ def form(text):
     return re.sub(r"\s+", " ", folded).strip(" ")
 
 
+def r_of(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (h >> 63 << 64)
+
+
 def brute(rows):
-    rows = sorted(((i, t or "") for i, t in rows), reverse=True)
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0], r_of(x[1])), reverse=True)
     out = []
     for k, (i, t) in enumerate(rows):
         nxt, cut = rows[(k + 1) % len(rows)][1], len(t) // 3
@@ -64,3 +71,25 @@ def test_rows_without_doc_id_and_empty_table(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"ab").hexdigest() and alone.near_next == 0
     empty = spark.createDataFrame([], SCHEMA)
     assert fp.compare_with_edits(empty).collect() == [] and fp.fingerprints(empty).collect() == []
+
+
+def test_ties_and_repeated_rows_follow_each_other(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([5, 5, 5, k]), f"{k:05d} text{'y' * (k % 4)}") for k in range(900)] + [(5, "one row, many times")] * 700 + [(77, None)] * 400
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("ids", [[*range(1, 20_000), 10**15], [-(2**63), *range(5000), 2**63 - 1], [7] * 8000 + [8], [1, 2, 3]])
+def test_no_bucket_holds_many_rows(spark, ids):
+    rows = spark.createDataFrame([(i, r_of(str(k))) for k, i in enumerate(ids)], "doc_id long, r long")
+    segment, values, bucket, count = fp.rising_buckets(rows, 64, 1024)
+    got = rows.withColumns(segment).withColumns(values).select("doc_id", "r", bucket.cast("long").alias("b")).collect()
+    order = [r.b for r in sorted(got, key=lambda r: (r.doc_id, r.r))]
+    assert order == sorted(order) and 0 <= order[0] and order[-1] < count
+    assert max(order.count(b) for b in set(order)) < 400
+
+
+def test_following_over_several_levels(spark):
+    held = sorted(random.Random(3).sample(range(5000), 300))
+    got = dict(fp.following(spark.createDataFrame([(b,) for b in held], "b long"), 5000, fan=8).collect())
+    assert got == {b: held[k - 1] for k, b in enumerate(held)}
