@@ -10,7 +10,7 @@ LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 TEST_MARKERS = ["test_", "_test.py", "tests/", "test/", "conftest.py", "pytest.ini", "pyproject.toml"]
 SCRATCH_MARKERS = ["repro", "scratch", "temp", "tmp_"]
 PROTECTED_NAMES = ["conftest.py", "pytest.ini", "setup.cfg", "tox.ini"]
-STOP_WORDS = ["this", "that", "with", "from", "when", "then", "have", "should", "would"]
+STOP_WORDS = ["the", "and", "that", "this", "with", "from", "for", "have", "were"]
 
 
 def splitlines(text: Column) -> Column:
@@ -58,8 +58,55 @@ def sub_tokens(name: Column) -> Column:
 
 
 def json_string(text: Column) -> Column:
-    """A JSON string; characters beyond ASCII stay as they are."""
-    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    for a, b in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.concat(F.lit('"'), out, F.lit('"'))
+    """A JSON string in ASCII: all else is escaped, by UTF-16 units."""
+    plain = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    for a, b in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
+        plain = F.replace(plain, F.lit(a), F.lit(b))
+    units = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(....)", r"\\u$1")
+    other = F.array_join(F.transform(F.split(plain, ""), lambda c: F.when(c.rlike("[^ -~]"), units(c)).otherwise(c)), "")
+    return F.concat(F.lit('"'), F.when(~text.rlike(r'[^ !#-\[\]-~]'), text).when(text.rlike(r"[^\x00-\x7e]|[\x00-\x07\x0b\x0e-\x1f]"), other).otherwise(plain), F.lit('"'))
+
+
+def stripped(text: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(text, r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+\z", "")
+
+
+def is_test_file(path: Column) -> Column:
+    """By folders and names, in lower case; the stricter of the three readings."""
+    low = F.lower(path)
+    return low.rlike(r"(^|/)(tests?|testing)/|(^|/)test_[^/]*\.py\z") | F.endswith(low, F.lit("_test.py")) | F.endswith(low, F.lit("conftest.py"))
+
+
+def mentioned(text: Column, needles: Column) -> Column:
+    """Whether any needle of three or more characters stands in the text as a word, in any case."""
+    quoted = lambda n: F.concat(F.lit(r"(?i)(?<![\w/])\Q"), n, F.lit(r"\E(?![\w])"))
+    return F.exists(F.filter(needles, lambda n: F.length(n) >= 3), lambda n: F.regexp_like(text, quoted(n)))
+
+
+def substituted(template: Column, variables: dict[str, Column | str]) -> Column:
+    """{key} replaced by its value, key after key in the order given; a value may bring in a later key."""
+    for key, value in variables.items():
+        template = F.replace(template, F.lit("{" + key + "}"), value if isinstance(value, Column) else F.lit(value))
+    return template
+
+
+def safe_int(value: Column, default: int = 0) -> Column:
+    """A whole number from text or number, the default where there is none; fractions of numbers are cut, of texts are not read."""
+    return F.coalesce(F.when(value.rlike(r"^\s*[+-]?\d+\s*$"), F.try_to_number(F.trim(value), F.lit("S999999999999999999")).cast("long")), F.lit(default))
+
+
+def version_parts(version: Column) -> Column:
+    """struct(major, minor, patch) of a version with or without v; null if it isn't three numbers."""
+    clean = F.trim(F.regexp_replace(version, "^v+", ""))
+    part = lambda k: F.try_element_at(F.split(clean, r"\."), F.lit(k)).cast("int")
+    return F.when(clean.rlike(r"^\d+\.\d+\.\d+$"), F.struct(part(1).alias("major"), part(2).alias("minor"), part(3).alias("patch")))
+
+
+def bumped(version: Column, what: str) -> Column:
+    """The next major, minor or patch version."""
+    v = version_parts(version)
+    major, minor, patch = v["major"], v["minor"], v["patch"]
+    zero = F.lit(0)
+    new = {"major": (major + 1, zero, zero), "minor": (major, minor + 1, zero), "patch": (major, minor, patch + 1)}[what]
+    return F.concat(new[0].cast("string"), F.lit("."), new[1].cast("string"), F.lit("."), new[2].cast("string"))

@@ -8,11 +8,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.plans import frames, tasks, texts
+from quarryline.plans import agents, eda, frames, tasks, texts
 from quarryline.plans.dialect import DUCK, SPARK, Spark
-from quarryline.session import table
+from quarryline.session import TABLES, sql
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 TEXTS: dict[str, Callable[[Spark], str]] = tasks.QUERIES | texts.QUERIES
 
 
@@ -23,12 +22,8 @@ def text(name: str, dialect: Spark) -> str:
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A query over the tables of a folder; only the tables that it names are opened."""
-    sql = text(name, SPARK)
-    for t in TABLES:
-        if re.search(rf"\b{t}\b", sql):
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(sql)
+    return sql(spark, sf_dir, text(name, SPARK))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: functools.partial(run, name) for name in TEXTS} | frames.QUERIES
-ORACLE: dict[str, str] = {name: text(name, DUCK) for name in TEXTS} | frames.ORACLE
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: functools.partial(run, name) for name in TEXTS} | frames.QUERIES | agents.QUERIES | eda.QUERIES
+ORACLE: dict[str, str] = {name: text(name, DUCK) for name in TEXTS} | frames.ORACLE | agents.ORACLE | eda.ORACLE

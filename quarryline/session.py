@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "quarryline", cpus: str | None = None, partitions: int = 8) -> SparkSession:
@@ -25,6 +27,28 @@ def local_session(app: str = "quarryline", cpus: str | None = None, partitions:
     )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str):
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, as a lazy scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="quarryline-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A query over the tables of a folder; only the tables that it names are opened. 1.0D is a double in both engines' texts."""
+    for t in TABLES:
+        if re.search(rf"\b{t}\b", text):
+            table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return spark.sql(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quarryline.session import shared_folder
+
 EVENT = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 FREE = ("signup",)
 
@@ -18,13 +21,66 @@ def read_events(spark: SparkSession, folder: str, kind: str = "parquet", schema:
     return spark.readStream.format(kind).schema(schema).load(folder)
 
 
-def windowed_counts(events: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Events and their values by window and type; events later than late are left out."""
-    groups = events.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type")
+def windowed_counts(events: DataFrame, window: str = "1 hour", late: str = "10 minutes", slide: str | None = None) -> DataFrame:
+    """Events and their values by window and type; windows begin every slide, or follow each other; later events than late are left out."""
+    groups = events.withWatermark("ts", late).groupBy(F.window("ts", window, slide), "event_type")
     out = groups.agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return out.select(F.col("window.start").alias("start"), "event_type", "n", F.round("total", 6).alias("total"))
 
 
+def sessions(events: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
+    """(user_id, start, end, n): runs of a user's events that are less than gap apart; end is gap after the last one."""
+    if events.isStreaming:
+        events = events.withWatermark("ts", late)
+    out = events.groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("n"))
+    return out.select("user_id", F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
+
+
+def stops(metrics: DataFrame, least: float = 0.01, patience: int = 5) -> DataFrame:
+    """(run, best, waited, stopped) after each batch of metrics (run, step, value): early stopping in the stream's state.
+
+    The best moves by least or more; patience steps in a row without that stop the run for good. A batch's rows of a run are
+    taken by step.
+    """
+
+    def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best, waited, stopped = state.get if state.exists else (None, 0, False)
+        rows = pd.concat(list(batches)).sort_values("step")
+        for value in rows["value"]:
+            if stopped:
+                break
+            if best is None or value >= best + least:
+                best, waited = float(value), 0
+            else:
+                waited += 1
+                stopped = waited >= patience
+        state.update((best, waited, stopped))
+        yield pd.DataFrame({"run": [key[0]], "best": [best], "waited": [waited], "stopped": [stopped]})
+
+    return metrics.groupBy("run").applyInPandasWithState(watch, "run long, best double, waited long, stopped boolean", "best double, waited long, stopped boolean", "update", GroupStateTimeout.NoTimeout)
+
+
+def timeouts(events: DataFrame, after: str = "1 hour") -> DataFrame:
+    """(user_id, n, ended): users' events so far, and those whose last event lies longer back than after; by event time."""
+
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            n = state.get[0]
+            state.remove()
+            yield pd.DataFrame({"user_id": [key[0]], "n": [n], "ended": [True]})
+            return
+        n, latest = state.get if state.exists else (0, 0)
+        for batch in batches:
+            n += len(batch)
+            latest = max(latest, int(batch.ts.max().timestamp() * 1000))
+        state.update((n, latest))
+        state.setTimeoutTimestamp(max(latest + span, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "ended": [False]})
+
+    span = int(pd.Timedelta(after).total_seconds() * 1000)
+    return events.withWatermark("ts", "0 seconds").groupBy("user_id").applyInPandasWithState(count, "user_id long, n long, ended boolean", "n long, latest long", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def gap_alerts(metrics: DataFrame, limit: float = 0.15) -> DataFrame:
     """Metric rows whose local and public scores are more than limit apart."""
     gap = F.abs(F.col("cv_score") - F.col("lb_score"))
@@ -45,8 +101,14 @@ def budget_status(events: DataFrame, most: int = 100, warn_used: int = 20, warn_
     return events.groupBy("user_id").applyInPandasWithState(count, "user_id long, used long, remaining long, warns boolean", "used long", "update", GroupStateTimeout.NoTimeout)
 
 
-def drained(stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """All that a stream gives for the input there is, as a table in memory; for tests and small checks."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+def drained(stream: DataFrame, mode: str) -> DataFrame:
+    """All that a stream gives for the input there is, as a table in the shared folder: in complete mode its last state, else every batch.
+
+    The state and the offsets lie beside it, so a run that is broken off goes on where it stood.
+    """
+    spark = stream.sparkSession
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    keep = "overwrite" if mode == "complete" else "append"
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
+    writer.foreachBatch(lambda batch, _: batch.write.mode(keep).parquet(f"{base}/table")).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/table")

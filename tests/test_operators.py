@@ -1,14 +1,16 @@
 import io
 import json
+import os
 import zipfile
+from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quarryline.functions import stats, text
-from quarryline.operators import diffs, folds, inspection, trajectories
-from quarryline.plans import frames
+from quarryline.operators import diffs, evaluation, folds, inspection, retrieval, trajectories
+from quarryline.plans import agents, catalogue
 from quarryline.sources import readers, sinks
 from quarryline.streaming import telemetry
 
@@ -30,7 +32,7 @@ def test_text_predicates(spark):
     assert [one(spark, p, text.is_test_path) for p in ("src/latest/a.py", "a.py", "Tests/x")] == [True, False, True]
     assert [one(spark, p, text.is_protected_path) for p in ("tests/a.py", "a_test.py", "src/latest/a.py", "x/setup.cfg")] == [True, True, False, True]
     assert [one(spark, p, text.is_scratch_path) for p in ("repro.py", "/tmp/repro.py", "x.py")] == [True, False, False]
-    assert one(spark, "The parser fails when parser reads", text.keywords) == "parser, fails, parser"
+    assert one(spark, "The parser fails when parser reads", text.keywords) == "parser, fails, when"
     assert one(spark, "no", text.keywords) == "issue"
     assert one(spark, "parseHTMLPage_v2", text.sub_tokens) == ["parse", "html", "page", "v", "2"]
 
@@ -41,20 +43,28 @@ def test_tiers(spark, files, lines, tier):
 
 
 def test_diff_parsers(spark):
-    df = spark.createDataFrame([(1, DIFF + GONE), (2, ""), (3, "--- a/z.py\n+++ b/z.py\n@@ -1 +1 @@\n-a\n+b"), (4, None)], "id long, patch string")
-    got = [tuple(r) for r in diffs.parse_hunks(df, "id", "patch").orderBy("id", "file_no", "hunk_no").collect()]
+    df = spark.createDataFrame([(1, DIFF + GONE), (2, ""), (3, "--- a/z.py\n+++ b/z.py\n@@ -1 +1 @@ def foo():\n-a\n+class B:"), (4, None), (5, DIFF.replace("+1,2", "+1,9"))], "id long, patch string")
+    got = [tuple(r) for r in diffs.parse_hunks(df.where("id < 5"), "id", "patch").orderBy("id", "file_no", "hunk_no").collect()]
     assert got == [
         (1, 1, "x.py", 1, 1, 2, 1, 2, ["old", "same"], ["new", "same"]),
         (1, 1, "x.py", 2, 9, 1, 9, 2, ["keep"], ["keep", "more"]),
         (1, 2, "y.py", 1, 1, 1, 0, 0, ["-- x"], []),
     ]
-    counted = {(r.id, r.file_no): r for r in diffs.parse_counted(df, "id", "patch").collect()}
-    assert counted.keys() == {(1, 1), (1, 2), (3, 1)}
-    assert (counted[1, 2].deleted, counted[1, 2].path, counted[1, 2].unterminated) == (1, "y.py", False)
-    assert (counted[3, 1].path, counted[3, 1].added, counted[1, 1].hunks) == ("z.py", 1, 2)
+    counted = {r.id: r for r in diffs.parse_counted(df, "id", "patch").collect()}
+    assert [len(counted[k].files) for k in range(1, 6)] == [2, 0, 1, 0, 1]
+    x, y = counted[1].files
+    assert (x.path, x.added, x.deleted, x.hunks, y.path, y.deleted, y.status) == ("x.py", 2, 1, 2, "y.py", 1, "deleted")
+    z = counted[3].files[0]
+    assert (z.path, z.symbols, z.status, z.added) == ("z.py", ["B", "foo"], "modified", 1)
+    assert (counted[1].malformed, counted[1].unterminated, counted[5].malformed) == (0, False, 1)
     assert one(spark, DIFF + GONE, diffs.changed_files) == 2 and one(spark, "--- a\n--- /dev/null\n", diffs.changed_files) == 1
-    assert one(spark, DIFF, diffs.changed_lines) == 3
-    assert diffs.count_hunks("@@ -1,3 +1,3 @@\n a\n")[0]["unterminated"]
+    assert one(spark, DIFF, diffs.changed_lines) == 3 and one(spark, DIFF, diffs.old_files) == ["x.py"]
+    added = "diff --git a/n b/n\n--- /dev/null\n+++ b/tmp_x.py\n@@ -0,0 +1 @@\n+x\ndiff --git a/t b/t\n--- a/tests/t.py\n+++ b/tests/t.py\n@@ -1 +1,5 @@\n+y\n"
+    rows = spark.createDataFrame([(1, added), (2, " "), (3, "no diff")], "id long, patch string")
+    found = {r.id: [m.message.split(":")[0] for m in r.findings] for r in diffs.findings(diffs.parse_counted(rows, "id", "patch").join(rows, "id"), F.col("patch"), 1).collect()}
+    assert found == {1: ["hunk line counts do not match the @@ headers (corrupted diff)", "modifies a test file", "looks like a leftover scratch file", "very large patch (2 changed lines)"], 2: ["empty patch"], 3: ["no file headers found"]}
+    f = diffs.features(diffs.parse_counted(rows, "id", "patch")).where("id = 1").first()
+    assert (f.gold_files, f.n_files, f.churn, f.adds_new_file, f.patch_ok) == (["tmp_x.py"], 2, 2, True, False)
 
 
 def test_edits():
@@ -84,48 +94,93 @@ def test_statistics(spark):
     assert (got.best, got.since, got.stopped_at) == (0.1, 5, 5)
 
 
+def test_json_strings_are_those_of_the_standard_library(spark):
+    for v in ["", "a", 'q"\\', "é🙂\u2028", "\t\n\r\b\f\x01\x7f", "tab\tand é"]:
+        assert one(spark, v, text.json_string) == json.dumps(v)
+
+
+def test_text_of_turns(spark):
+    t = trajectories
+    turns = F.array(
+        t.turn("user", text=" Do it. "), t.turn("model", " think ", "say\n", "read_file", {"filepath": "a/é.py", "start_line": F.lit(3)}), t.turn("user", result=" done "), t.turn("model"),
+    )
+    row = spark.range(1).select(turns.alias("turns")).select(t.formatted(F.col("turns")).alias("f"), t.turn_tokens(F.col("turns")).alias("n"), t.formatted(F.slice("turns", 1, 0)).alias("none")).first()
+    call = json.dumps({"tool_name": "read_file", "args": {"filepath": "a/é.py", "start_line": 3}})
+    want = f"<bos><|turn>user\nDo it.\n<turn|>\n<|turn>model\n<|channel>thought\nthink\n<channel|>\nsay\n<|tool_call>\n{call}\n<tool_call|>\n<turn|>\n<|turn>user\ndone\n<turn|>\n<|turn>model\n<turn|>\n"
+    assert row.f == want and row.none == "<bos>"
+    parts = ["user  Do it.  ", f"model  think  say\n  read_file {json.dumps({'filepath': 'a/é.py', 'start_line': 3})}", "user    done ", "model   "]
+    assert row.n == sum(-(-len(p) // 4) for p in parts)
+
+
 def test_trajectories(spark):
-    made = trajectories.validated(trajectories.synthesise(frames.tasks(spark, SF))).cache()
-    assert made.where("size(warnings) > 0").count() == 0  # pure additions have no old text to edit
-    assert made.where("exists(errors, e -> e not like 'edit without old_string%')").count() == 0
-    row = made.first()
-    hunks = sum(len(f.hunks) for f in row.files)
-    assert len(row.turns) == 1 + 4 + 2 * len(row.files) + 1 + 2 * hunks + 2 + 2
-    more = trajectories.augment(made.drop("errors", "warnings", "valid"), count=6).collect()
-    assert {r.strategy for r in more} == set(trajectories.STRATEGIES)
-    grown = {r.strategy: len(r.turns) for r in more if r.instance_id == row.instance_id}
+    tasks = agents.task_rows(spark, SF)
+    made = trajectories.validated(trajectories.synthesise(tasks)).cache()
+    assert made.where("exists(errors, e -> e not like 'edit_file missing old_string%') or size(warnings) > 0").count() == 0  # pure additions have no old text to edit
+    row = made.where("size(files) > 1").orderBy("instance_id").first()
     n = len(row.turns)
-    assert grown == {"swap_navigation": n, "failed_edit": n + 3, "wider_reads": n, "grep_first": n, "scratch_block": n + 6, "budget_checks": n + 2}
-    chat = made.select(trajectories.formatted(F.col("turns")).alias("t")).first().t
-    assert chat.startswith("<bos><start_of_turn>user\n") and chat.endswith("<end_of_turn>\n")
-    call = json.loads(chat.split("<tool_call>\n")[1].split("\n</tool_call>")[0])
-    assert call["tool_name"] == "search_similar_code" and call["args"]["k"] == "5"
+    assert n == 1 + 4 + 2 * len(row.files) + 1 + 2 * sum(len(f.hunks) for f in row.files) + 2 + 2
+    assert row.turns[0].text.startswith("You are evaluating a software engineering task for repository ") and row.turns[0].text.endswith("150 lines per read_file call\n")
+    assert json.loads(row.turns[2].tool_result)["results"][0] == {"node_name": "add_numbers", "filepath": "utils.py", "score": 0.95}
+    more = {r.strategy: r.turns for r in trajectories.augment(made.drop("errors", "warnings", "valid"), count=6).where(F.col("instance_id") == row.instance_id).collect()}
+    grown = {"swap_navigation": n, "failed_edit": n + 3, "wider_reads": n, "grep_first": n, "scratch_block": n + 6, "budget_checks": n + 4}
+    assert {k: len(v) for k, v in more.items()} == grown
+    tool = lambda t: t.tool_calls[0].tool_name if t.tool_calls else None
+    assert [tool(t) for t in more["swap_navigation"][1:5:2]] == ["get_code_neighbors", "search_similar_code"]
+    assert tool(more["grep_first"][1]) == "run_command" and "grep -rn 'add_numbers' ." in more["grep_first"][1].tool_calls[0].args["command"] and "def foo" in more["grep_first"][2].tool_result
+    k = next(i for i, t in enumerate(row.turns) if tool(t) == "edit_file")
+    assert more["failed_edit"][k].tool_calls[0].args["old_string"].startswith("INVALID") and more["failed_edit"][k + 3] == row.turns[k]
+    read = next(i for i, t in enumerate(row.turns) if tool(t) == "read_file")
+    a, b = (x[read].tool_calls[0].args for x in (row.turns, more["wider_reads"]))
+    assert (int(b["start_line"]), int(b["end_line"])) == (max(1, int(a["start_line"]) - 10), int(a["end_line"]) + 10)
+    assert [tool(more["budget_checks"][i]) for i in (n // 3, 2 * n // 3 + 2)] == ["get_status"] * 2
+
+
+def test_symbols_and_long_hunks(spark):
+    hunk = lambda o, n: F.struct(F.lit(1).alias("old_start"), F.lit(1).alias("old_count"), F.lit(o).alias("old_text"), F.lit(n).alias("new_text"))
+    files = lambda *h: F.array(F.struct(F.lit("p").alias("path"), F.array(*h).alias("hunks")))
+    s = lambda f, k=None: spark.range(1).select(trajectories.symbols(f, k).alias("s")).first().s
+    assert s(files(hunk("def a(x):", "class B:\n  def a(y)\nasync def c():"))) == ["a", "B"]
+    assert s(files(hunk("x", "y")), F.array(F.lit("g"))) == ["g"] and s(files(hunk("x", "y"))) == ["add_numbers"]
+    cut = lambda a, b: spark.range(1).select(trajectories.cut_hunk(F.transform(F.sequence(F.lit(1), F.lit(a)), lambda x: x.cast("string")), F.transform(F.sequence(F.lit(1), F.lit(b)), lambda x: x.cast("string"))).alias("c")).first().c
+    assert len(cut(15, 20).new_text.split("\n")) == 20 and len(cut(16, 20).new_text.split("\n")) == 15 and len(cut(16, 20).old_text.split("\n")) == 15
 
 
 def test_bad_trajectories_and_rewards(spark):
     t = trajectories
-    bad = F.array(t.turn("model", tool="edit_file", args={"path": "tests/a.py", "old_string": ""}), t.turn("model", tool="write_file", args={"path": "scratch.py"}))
-    df = spark.range(1).select(bad.alias("turns"), F.lit(32000).alias("token_count"), F.lit("p").alias("patch"), F.lit(1).alias("passed"), F.lit(2).alias("total"), F.lit("SIMPLE").alias("complexity"), F.lit(True).alias("had_truncation"))
+    bad = F.array(t.turn("model", tool="edit_file", args={"filepath": "tests/a.py", "old_string": ""}), t.turn("model", tool="write_file", args={"filepath": "scratch.py"}))
+    df = spark.range(1).select(bad.alias("turns"), F.lit(32000).alias("token_count"), F.lit(81).alias("num_tool_calls"), F.lit("p").alias("patch"), F.lit(1).alias("passed"), F.lit(2).alias("total"), F.lit("SIMPLE").alias("complexity"), F.lit(True).alias("had_truncation"))
     got = t.validated(df).first()
-    assert len(got.errors) == 4 and got.warnings == ["does not end with submit_patch"] and not got.valid
+    assert got.errors == ["Token count 32000 exceeds 28672", "edit_file missing old_string for tests/a.py", "Modifies test file: tests/a.py", "Scratch file in workspace: scratch.py"]
+    assert got.warnings == ["Tool calls 81 exceeds recommended 80", "submit_patch is not the last tool call"] and not got.valid
     assert df.select(t.reward(df).alias("r")).first().r == pytest.approx(max(-1.5, 0.25 + 0.15 - 0.2 - 0.3 - 0.5 - 0.4))
     scored = spark.createDataFrame([("a", i, s) for i, s in enumerate([0.9, 0.5, 0.61])], "instance_id string, gen int, score double")
     assert {(r.chosen, r.rejected) for r in t.preference_pairs(scored).collect()} == {(0, 1)}
-    raw = '<thought>x</thought><tool_call>{"tool_name": "run"}</tool_call><tool_call>bad</tool_call><patch>diff</patch>'
-    got = spark.createDataFrame([(raw,)], "v string").select(*(c.alias(k) for k, c in t.parse_rollout(F.col("v")).items())).first()
-    assert (got.thoughts, got.tools, got.patch) == (["x"], ["run"], "diff")
 
 
 def test_inspection(spark):
-    cells = spark.createDataFrame([("n", 0, "use GOLD_PATCH"), ("n", 1, "x = manual_patch"), ("m", 0, "ok")], "path string, index int, source string")
-    found = inspection.keyword_findings(cells, inspection.LEAK_WORDS, "CRITICAL").unionByName(inspection.keyword_findings(cells, inspection.OVERFIT_WORDS, "SUSPICIOUS"))
-    assert found.count() == 2 and dict(inspection.risk(found).collect()) == {"n": "critical"}
-    cases = [(0.06, 0.05, True, "low", 3, 0, "ADOPT"), (0.06, 0.05, True, "critical", 3, 1, "REJECT"), (0.03, 0.15, True, "medium", 1, 1, "PARTIAL"), (0.3, 0.21, True, "clean", 4, 1, "REJECT"), (0.03, 0.0, False, "clean", 4, 1, "REJECT")]
+    cells = spark.createDataFrame([("n", 0, "use GOLD_PATCH"), ("n", 1, "x = manual_patches"), ("m", 0, "num_epochs = 1"), ("k", 0, "instance_id"), ("c", 0, "ok")], "path string, index int, source string")
+    assert {r.path: r.risk_level for r in inspection.inspect(cells).collect()} == {"n": "critical", "m": "medium", "k": "low", "c": "clean"}
+    assert inspection.scan(cells).count() == 4
+    cases = [(0.06, 0.05, True, "low", 3, 0, "ADOPT"), (0.06, 0.05, True, "critical", 3, 1, "REJECT"), (0.03, 0.15, True, "medium", 1, 1, "PARTIAL_ADOPT"), (0.3, 0.21, True, "clean", 4, 1, "REJECT"), (0.03, 0.0, False, "clean", 4, 1, "REJECT")]
     df = spark.createDataFrame(cases, "i double, g double, s boolean, r string, n int, b int, want string")
     assert all(r.want == r.d for r in df.withColumn("d", inspection.decision(*(F.col(c) for c in "igsrnb"))).collect())
-    files = spark.createDataFrame([("a/config.yaml", ".yaml", 5), ("a/x.bin", ".bin", 5)], "path string, ext string, length long")
+    files = spark.createDataFrame([("a", "agent.yaml", 5, False, "model: x\n"), ("a", "x.bin", 5, False, None)], "bundle string, path string, length long, is_link boolean, content string")
     with pytest.raises(ValueError, match="extensions"):
         inspection.gate(inspection.bundle_checks(files))
+    whole = [("b", "adapter_config.json", 5), ("b", "w.safetensors", 9), ("c", "w.safetensors", 9), ("d", "adapter_config.json", 1), ("d", "w.safetensors", 1), ("d", "x.pt", 1)]
+    assert dict(inspection.checkpoint_complete(spark.createDataFrame(whole, "bundle string, path string, length long")).collect()) == {"b": True, "c": False, "d": False}
+
+
+def test_evaluation_of_nothing(spark):
+    none = spark.createDataFrame([], "ord long, repo string, fold long, resolved boolean, complexity string, tokens long, num_tool_calls long, had_truncation boolean")
+    assert evaluation.fold_results(none).collect() == [] and evaluation.subset_result(none).first().resolution_rate == 0.0
+    assert evaluation.report(none).first().recommendations[0].startswith("CRITICAL: Resolution rate")
+
+
+def test_artifacts(spark):
+    tasks = spark.createDataFrame([("t1", "0123456789abcdef", "own/repo"), ("task_2", "", "a/b"), ("none", "", "zz/yyyy")], "instance_id string, base_commit string, repo string")
+    files = spark.createDataFrame([("x/own__repo.json",), ("x/0123456/long.json",), ("x/0123456.json",), ("task_2.zip",), ("repo",)], "path string")
+    assert dict(retrieval.artifact_matches(tasks, files).collect()) == {"t1": "x/0123456.json", "task_2": "task_2.zip"}
 
 
 def test_sources(spark, tmp_path):
@@ -169,13 +224,37 @@ def test_sinks(spark, tmp_path):
 
 def test_streams(spark):
     events = telemetry.read_events(spark, f"{SF}/events*.parquet")
-    status = telemetry.drained(telemetry.budget_status(events, most=30), "budget_status", "update").collect()
+    status = telemetry.drained(telemetry.budget_status(events, most=30), "update").collect()
     want = spark.read.parquet(f"{SF}/events.parquet").where("event_type <> 'signup'").groupBy("user_id").count().collect()
     assert {r.user_id: r.used for r in status if r.used} == {r.user_id: r["count"] for r in want}
-    gaps = telemetry.gap_alerts(spark.createDataFrame([(0.5, 0.36), (0.5, 0.3), (0.5, None)], "cv_score double, lb_score double"))
-    assert gaps.count() == 1
-
-
-@pytest.mark.parametrize("name", sorted(frames.QUERIES.keys() - frames.ORACLE.keys()))
+    gaps = telemetry.gap_alerts(spark.createDataFrame([(0.5, 0.34), (0.5, 0.3), (0.5, None)], "cv_score double, lb_score double"))
+    assert gaps.count() == 2
+
+
+def test_streams_of_several_batches(spark, tmp_path):
+    """Late events are left out, early stopping and timeouts remember earlier batches."""
+
+    def put(name, rows, schema):
+        seen = set(tmp_path.glob(f"{name}/part-*"))
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        for f in set(tmp_path.glob(f"{name}/part-*")) - seen:  # files are read in order of their times
+            os.utime(f, (10**9 + 10 * len(seen), 10**9 + 10 * len(seen)))
+
+    event = lambda k, at, user=1: (k, datetime.fromisoformat(f"2024-01-01T{at}"), user, "click", 1.0, "{}")
+    for k, at in enumerate(("10:00:00", "12:00:00", "12:01:00", "10:05:00", "15:00:00")):
+        put("e", [event(k, at, 2 if k == 4 else 1)], telemetry.EVENT)
+    stream = spark.readStream.schema(telemetry.EVENT).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/e")
+    rows = telemetry.drained(telemetry.windowed_counts(stream), "append").collect()
+    assert {r.start.hour: r.n for r in rows} == {10: 1, 12: 2}  # 10:05 came too late, 15:00 may still grow
+    ended = [r.user_id for r in telemetry.drained(telemetry.timeouts(stream), "update").where("ended").collect()]
+    assert 1 in ended
+    for k, v in enumerate([0.1, 0.105, 0.1, 0.2, 0.2, 0.2, 0.2, 0.9]):
+        put("m", [(1, k, v)], "run long, step long, value double")
+    metrics = spark.readStream.schema("run long, step long, value double").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/m")
+    last = telemetry.drained(telemetry.stops(metrics, 0.01, 3), "update").where("stopped").first()
+    assert (last.best, last.waited) == (0.2, 3)
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES.keys() - catalogue.ORACLE.keys()))
 def test_queries_without_sql_run(spark, name):
-    assert frames.QUERIES[name](spark, SF).count() > 0
+    assert catalogue.QUERIES[name](spark, SF).count() > 0
