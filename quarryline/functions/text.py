@@ -48,7 +48,7 @@ def is_protected_path(path: Column) -> Column:
 
 
 def keywords(text: Column, count: int = 3) -> Column:
-    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"\b([a-z_]{4,})\b"), F.lit(1)), lambda w: ~w.isin(STOP_WORDS))
+    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b([a-z_]{4,})\b"), F.lit(1)), lambda w: ~w.isin(STOP_WORDS))
     return F.when(F.size(words) == 0, F.lit("issue")).otherwise(F.array_join(F.slice(words, 1, count), ", "))
 
 

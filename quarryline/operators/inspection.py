@@ -65,6 +65,36 @@ def scan(cells: DataFrame) -> DataFrame:
     return rows.select("path", "index", "x.check", F.explode("x.f").alias("finding"))
 
 
+def word_hits(texts: DataFrame, key: str, text: str, words: list[str]) -> DataFrame:
+    """(key, keyword): the words that each text holds, in lower case; a text is read once and gives a row only for each word found."""
+    low = F.lower(F.col(text))
+    found = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(w)), F.lit(w)) for w in words)))
+    return texts.select(key, F.explode(found).alias("keyword"))
+
+
+def verbatim(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id): texts (doc_id, text) that hold an item (item_id, text) as it stands.
+
+    An item's second to fourth parts between spaces stand between spaces in any text that holds it: texts and items meet by these
+    three, and only such pairs are compared. Items of less than five parts have no such anchor; these are compared with all
+    texts, behind a check of their number.
+    """
+    parts = F.split("text", " ")
+    anchored = items.where(F.size(parts) >= 5).select("item_id", F.col("text").alias("wanted"), F.array_join(F.slice(parts, 2, 3), " ").alias("anchor"))
+    triples = F.transform(F.sequence(F.lit(1), F.size(parts) - 2), lambda i: F.array_join(F.slice(parts, i, 3), " "))
+    seen = texts.where(F.size(parts) >= 3).select("doc_id", "text", F.explode(F.array_distinct(triples)).alias("anchor"))
+    keys = anchored.select("anchor").distinct()
+    hits = seen.select("doc_id", "anchor").join(keys, "anchor", "left_semi")
+    pairs = hits.join(anchored, "anchor").join(texts.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("wanted"))).select("doc_id", "item_id")
+    short = items.where(F.size(parts) < 5)
+    if short.take(1):
+        if short.count() > 10_000:
+            raise ValueError("at most 10,000 items of less than five parts at a time")
+        few = F.broadcast(short.select("item_id", F.col("text").alias("wanted")))
+        pairs = pairs.unionByName(texts.join(few, F.contains("text", F.col("wanted"))).select("doc_id", "item_id"))
+    return pairs.distinct()
+
+
 def first_label(text: Column, labels: list[tuple[str, list[str]]], default: str) -> Column:
     out = F.lit(default)
     for label, words in reversed(labels):

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions import text
-from quarryline.operators import diffs, retrieval
+from quarryline.operators import diffs, inspection, retrieval
 from quarryline.plans.dialect import SPARK
 from quarryline.session import sql, table
+from quarryline.sources import readers
 from quarryline.streaming import telemetry
 
 
@@ -25,7 +26,7 @@ def true_patches(d) -> str:
     patches AS (SELECT id, {d.agg("block", "chr(10)", "path")} AS patch FROM blocks GROUP BY id)"""
 
 
-def counted(spark: SparkSession, sf_dir: str, keep_patch: bool = False) -> DataFrame:
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sql(spark, sf_dir, f"WITH {true_patches(SPARK)} SELECT id, patch FROM patches")
     return diffs.parse_counted(rows, "id", "patch")
 
@@ -169,11 +170,49 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.sessions(table(spark, sf_dir, "events"), "1 day")
 
 
+WORDS = [*inspection.LEAK_WORDS, "nav", "footer", "http"]
+
+
+def rgx_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.keywords(F.col("text")).alias("keywords"))
+
+
+def insp_keyword_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = inspection.word_hits(table(spark, sf_dir, "pages"), "page_id", "html", WORDS)
+    return hits.groupBy("keyword").agg(F.count("*").alias("n_cells"), F.min("page_id").alias("first_cell"))
+
+
+def insp_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.verbatim(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+PROFILED = ["doc_id", "lang", "source", "n_chars"]
+
+
+def prj_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type, share filled, distinct values and least example of columns, in one pass."""
+    docs = table(spark, sf_dir, "documents").select(PROFILED)
+    kinds = dict(docs.dtypes)
+    sums = docs.agg(F.count("*").alias("n"), *(F.struct(F.count(c).alias("f"), F.count_distinct(c).alias("d"), F.min(c).cast("string").alias("e")).alias(c) for c in PROFILED))
+    rows = F.array(*(F.struct(F.lit(c).alias("name"), F.lit(kinds[c]).alias("kind"), F.round(F.col(c)["f"] / F.col("n"), 9).alias("filled"), F.col(c)["d"].alias("n_distinct"), F.col(c)["e"].alias("example")) for c in PROFILED))
+    return sums.select(F.explode(rows).alias("r")).select("r.*")
+
+
+REPORTS = """
+    SELECT id, CASE WHEN id % 7 = 0 THEN ' ' WHEN id % 7 = 1 THEN '<testsuite tests="1"' ELSE '<testsuites><testsuite tests="' || CAST(n AS STRING) || '" failures="' || CAST(f AS STRING) || '"/><testsuite tests="2" errors="' || CAST(e AS STRING) || '" skipped="1"/></testsuites>' END AS xml
+    FROM (SELECT l_orderkey AS id, count(*) AS n, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS f, sum(CASE WHEN l_tax >= 0.08 THEN 1 ELSE 0 END) AS e FROM lineitem GROUP BY l_orderkey) a"""
+
+
+def junit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.junit_counts(sql(spark, sf_dir, REPORTS), "xml")
+    return rows.select("id", *(F.col(c).cast("long").alias(c) for c in ("tests", "failures", "errors", "skipped", "passed")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         task_features, diff_hunk_counting, patch_findings, diff_old_files, diff_new_tests, issue_signals, path_gold_rank, path_hits, graph_symbol_nodes, graph_resolve, graph_edges, tool_matrix,
-        vec_histogram, vec_pca, shard_rows, fn_scalars, facts, stream_sliding, stream_sessions,
+        vec_histogram, vec_pca, shard_rows, fn_scalars, facts, rgx_keywords, insp_keyword_findings, insp_benchmark_overlap, prj_profile, junit_reports, stream_sliding, stream_sessions,
     )
 }
 
@@ -240,6 +279,20 @@ ORACLE = {
              s AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
         SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 1 DAY AS "end", count(*) AS n FROM s GROUP BY user_id, k""",
 }
+ORACLE |= {
+    "rgx_keywords": r"""
+        WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda x: regexp_full_match(x, '[a-z_]{4,}') AND x NOT IN ('the', 'and', 'that', 'this', 'with', 'from', 'for', 'have', 'were')) AS words FROM documents)
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN 'issue' ELSE array_to_string(list_slice(words, 1, 3), ', ') END AS keywords FROM w""",
+    "insp_keyword_findings": f"""
+        WITH words AS (SELECT unnest([{", ".join(f"'{w}'" for w in WORDS)}]) AS keyword) SELECT keyword, count(*) AS n_cells, min(page_id) AS first_cell FROM pages CROSS JOIN words WHERE contains(lower(html), keyword) GROUP BY keyword""",
+    "insp_benchmark_overlap": "SELECT DISTINCT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)",
+    "prj_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS name, '{'string' if c in ('lang', 'source') else 'bigint'}' AS kind, round(count({c}) / count(*), 9) AS filled, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS example FROM documents" for c in PROFILED
+    ),
+    "junit_reports": """
+        WITH a AS (SELECT l_orderkey AS id, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS f, count(*) FILTER (l_tax >= 0.08) AS e FROM lineitem GROUP BY l_orderkey), k AS (SELECT *, CASE WHEN id % 7 < 2 THEN 0 ELSE 1 END AS k FROM a)
+        SELECT id, k * (n + 2) AS tests, k * f AS failures, k * e AS errors, k AS skipped, greatest(k * (n + 1 - f - e), 0) AS passed FROM k""",
+}
 ORACLE["path_hits"] = f"""
         WITH t AS (SELECT DISTINCT page_id % 40 AS task FROM pages), r AS ({ORACLE["path_gold_rank"]}), x AS (SELECT 'repo_' || (t.task % 3) AS repo, rank FROM t LEFT JOIN r ON t.task = r.task)
         SELECT repo, count(*) AS tasks, round(count(*) FILTER (rank <= 1) / count(*), 9) AS hit1, round(count(*) FILTER (rank <= 5) / count(*), 9) AS hit5, round(count(*) FILTER (rank <= 10) / count(*), 9) AS hit10,

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-# Keywords of leaks and of overfitting, and stop words of keyword search.
-LEAKS = ("benchmark", "test_patch", "gold", "answer", "solution", "leaderboard", "hidden")
-STOP = ("this", "that", "with", "from", "when", "then", "have", "should", "would")
-
 #: One patch per order: a file per brand with one hunk, whose lines are the order's items.
 LINES = "CASE l_returnflag WHEN 'A' THEN '+' WHEN 'R' THEN '-' ELSE ' ' END || 'line_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING)"
 
@@ -46,7 +42,7 @@ QUERIES = {
     # WIN-14, DIF-01: lines of each file and hunk by side
     "win_diff_segments": lambda d: f"""
         WITH {lines(d)} SELECT id, file_no, hunk_no, {n(BODY + " AND mark <> '+'")} AS n_old, {n(BODY + " AND mark <> '-'")} AS n_new FROM placed WHERE hunk_no > 0 AND {BODY} GROUP BY id, file_no, hunk_no""",
-    # DIF-03, DIF-04: blocks of a diff with paths and counts
+    # DIF-03: blocks of a diff with paths and counts
     "diff_files": lambda d: f"""
         WITH {lines(d)} SELECT id, file_no, max(CASE WHEN opens_file THEN regexp_extract(line, 'a/([^ ]*) b/', 1) END) AS path,
                {n("mark = '+' AND line NOT LIKE '+++ %'")} AS added, {n("mark = '-' AND line NOT LIKE '--- %'")} AS deleted FROM placed GROUP BY id, file_no""",
@@ -71,26 +67,15 @@ QUERIES = {
     # AGG-09, AGG-10, SYN-08: token sums over turns, and the role counts
     "agg_turn_tokens": lambda d: f"""
         SELECT conv_id, CAST(sum(CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, ceil(length(text) / 4.0D)) END) AS BIGINT) AS tokens, {n("role = 'assistant'")} AS replies FROM conversations GROUP BY conv_id""",
-    # RGX-03: the first three keywords of a text
-    "rgx_keywords": lambda d: f"""
-        SELECT doc_id, CASE WHEN {d.lists}(words) = 0 THEN 'issue' ELSE {d.join_list("words", "', '")} END AS keywords FROM (
-            SELECT doc_id, slice3 AS words FROM (SELECT doc_id, {"slice(" if d.lists == "size" else "list_slice("}{d.where(d.all_matches("lower(text)", "[a-z_]{4,}"), "NOT x IN " + str(STOP))}, 1, 3) AS slice3 FROM documents) a) b""",
     # RGX-04, JSN-02: tool calls in tags
     "rgx_tool_calls": lambda d: f"""
         WITH c AS (SELECT conv_id, turn, '<tool_call>{{"k": ' || CAST(conv_id * 7 + turn AS STRING) || '}}</tool_call>' AS raw FROM conversations)
         SELECT conv_id, turn, {d.json_int("regexp_extract(raw, '<tool_call>(.*)</tool_call>', 1)", "k")} AS k FROM c""",
     "jsn_payload": lambda d: f"SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum({d.json_int('props', 'k')}) AS BIGINT) AS total FROM events GROUP BY event_type",
-    # INS-01..03: keyword findings by cell
-    "insp_keyword_findings": lambda d: f"""
-        WITH words AS ({" UNION ALL ".join(f"SELECT '{w}' AS keyword" for w in (*LEAKS, "nav", "footer", "http"))})
-        SELECT keyword, CAST(count(*) AS BIGINT) AS n_cells, CAST(min(page_id) AS BIGINT) AS first_cell FROM pages CROSS JOIN words WHERE position(keyword IN lower(html)) > 0 GROUP BY keyword""",
     # AGG-18: severity rollup
     "insp_risk": lambda d: """
         SELECT source, CASE WHEN max(s) = 3 THEN 'critical' WHEN max(s) = 2 THEN 'medium' WHEN max(s) = 1 THEN 'low' ELSE 'clean' END AS risk FROM (
             SELECT source, CASE WHEN text LIKE '%token = %' THEN 3 WHEN lower(text) LIKE '%license%' THEN 2 WHEN text LIKE '%!!%' THEN 1 ELSE 0 END AS s FROM documents) a GROUP BY source""",
-    # INS-04..06: classification and tags by first match
-    "insp_classify": lambda d: """
-        SELECT label, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN lower(text) LIKE '%gnu%' THEN 'gpl' WHEN lower(text) LIKE '%apache%' THEN 'apache' WHEN lower(text) LIKE '%mit license%' THEN 'mit' ELSE 'none' END AS label FROM documents) a GROUP BY label""",
     # VEC-01, SRT-05: the eight nearest to a stored vector, without itself
     "vec_cosine_topk": lambda d: f"""
         SELECT vec_id, score FROM (SELECT e.vec_id, round({d.dot("e.embedding", "q.embedding")} / (sqrt({d.dot("e.embedding", "e.embedding")}) * sqrt({d.dot("q.embedding", "q.embedding")})), 6) AS score
@@ -114,18 +99,16 @@ QUERIES = {
         WITH terms AS (SELECT doc_id, word AS term, count(*) AS tf FROM {d.exploded("documents", d.all_matches("lower(text)", "[a-z]{3,}"), "word")} t GROUP BY doc_id, word),
              df AS (SELECT term, count(*) AS df FROM terms WHERE term IN ('license', 'token', 'public', 'thou') GROUP BY term), total AS (SELECT count(*) AS n FROM documents)
         SELECT doc_id, score FROM (SELECT doc_id, round(sum((1 + ln(tf)) * (ln((1.0D + n) / (1 + df)) + 1)), 6) AS score FROM terms JOIN df ON terms.term = df.term CROSS JOIN total GROUP BY doc_id) a ORDER BY score DESC, doc_id LIMIT 20""",
-    # AGG-28, JON-14: rank of the first neighbour of the same label: hits and reciprocal ranks
+    # AGG-28: rank of the first neighbour of the same label: hits and reciprocal ranks
     "agg_mrr_hitk": lambda d: f"""
         WITH q AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id % 50 = 0),
              ranked AS (SELECT q.vec_id, q.label AS want, e.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY round({d.dot("e.embedding", "q.embedding")} / sqrt({d.dot("e.embedding", "e.embedding")}), 9) DESC, e.vec_id) AS k FROM q JOIN embeddings e ON e.vec_id <> q.vec_id),
              first AS (SELECT vec_id, min(CASE WHEN label = want THEN k END) AS r FROM ranked GROUP BY vec_id)
         SELECT round(avg(CASE WHEN r <= 1 THEN 1.0D ELSE 0.0D END), 9) AS hit1, round(avg(CASE WHEN r <= 10 THEN 1.0D ELSE 0.0D END), 9) AS hit10, round(sum(1.0D / r) / count(*), 9) AS mrr FROM first""",
-    # JON-14: pages whose paths end alike: the first of them ranks
+    # pages whose paths end in one segment: the first of them and how many
     "join_suffix_theta": lambda d: """
         WITH paths AS (SELECT page_id, regexp_extract(regexp_extract(url, '://[^/]*(/[^?#]*)', 1), '([^/]*)$', 1) AS tail FROM pages)
         SELECT page_id, first_page, n FROM paths JOIN (SELECT tail AS t, CAST(min(page_id) AS BIGINT) AS first_page, CAST(count(*) AS BIGINT) AS n FROM paths GROUP BY tail) g ON t = tail WHERE tail <> ''""",
-    # analogue of the leak scan: documents that hold a benchmark text as it stands
-    "insp_benchmark_overlap": lambda d: "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON position(b.text IN d.text) > 0",
     "hsh_sha256": lambda d: f"SELECT doc_id, {d.sha('text')} AS digest FROM documents",
     # DOC-07: outputs cut to their first characters
     "doc_truncation": lambda d: "SELECT doc_id, length(text) > 5000 AS is_cut, CAST(length(substr(text, 1, 5000)) AS BIGINT) AS shown FROM documents",
