@@ -195,7 +195,7 @@ def test_sources(spark, tmp_path):
     np.savez(tmp_path / "v/e.npz", a=np.ones(4, np.float32))
     (tmp_path / "v/bad.npz").write_bytes(b"no")
     assert [(r.graph_id, r.node_id, r.vec) for r in readers.vectors(spark, f"{tmp_path}/v").collect()] == [("e", "a", [1.0] * 4)]
-    (tmp_path / "n.ipynb").write_text(json.dumps({"cells": [{"cell_type": "code", "source": ["a\n", "b"]}, {"cell_type": "markdown", "source": "c"}]}))
+    (tmp_path / "n.ipynb").write_text(json.dumps({"cells": [{"cell_type": "code", "source": ["a\n", "b"]}, {"cell_type": "markdown", "source": "c"}]}, indent=1))
     assert [(r["index"], r.cell_type, r.source) for r in readers.notebook_cells(spark, f"{tmp_path}/n.ipynb").collect()] == [(0, "code", "a\nb"), (1, "markdown", "c")]
     xml = spark.createDataFrame([('<testsuite tests="5" failures="1" errors="1" skipped="0"/>',), ("broken <",), (None,)], "x string")
     assert [r.passed for r in readers.junit_counts(xml, "x").collect()] == [3, 0, 0]
@@ -209,6 +209,61 @@ def test_sources(spark, tmp_path):
     assert readers.section({"x": {"y": 1}}, "x") == {"y": 1} and readers.section({"y": 1}, "x") == {"y": 1}
 
 
+def test_more_sources(spark, tmp_path):
+    (tmp_path / "r.yaml").write_text("solutions:\n- {name: a, lb_score: null, status: done, key_techniques: [x, 1]}\n- {notebook_name: b, lb_score: 0.5, leak_detected: false, prompt_strategy: p}\n- text\n")
+    rows = readers.registry(spark, f"{tmp_path}/r.yaml").collect()
+    assert [(r.notebook_name, r.lb_score, r.analysis_status, r.key_techniques, r.leak_detected, r.prompt_strategy) for r in rows] == [("a", 0.0, "done", ["x", "1"], None, None), ("b", 0.5, "pending", [], False, "p")]
+    assert readers.registry(spark, f"{tmp_path}/none.yaml").count() == 0
+    (tmp_path / "j.json").write_text('{"a": 1}')
+    (tmp_path / "bad.json").write_text("{")
+    assert readers.json_object(spark, f"{tmp_path}/j.json") == {"a": 1} and readers.json_object(spark, f"{tmp_path}/bad.json") == {} == readers.json_object(spark, f"{tmp_path}/none.json")
+    with pytest.raises(FileNotFoundError):
+        readers.read_text(spark, f"{tmp_path}/none")
+    leaves = readers.yaml_leaves(spark.createDataFrame([(1, "a: {b: [1, !include x.md]}"), (2, "a: ["), (3, None)], "k long, t string"), "k", "t").collect()
+    assert [(r.k, r.path, r.value, r.error is None) for r in leaves] == [(1, "/a/b/0", "1", True), (1, "/a/b/1", "x.md", True), (2, None, None, False), (3, "", None, True)]
+    assert readers.flattened({"cv": {"k": 4}, "x": 1}) == {"cv": {"k": 4}, "k": 4, "x": 1}
+    assert readers.settings("a:\n  b: 1\n", {"Q_A__B": "no"}, "Q_") == {"a": {"b": "no"}}
+    tasks = readers.mock_tasks(spark, 4)
+    assert tasks.select("repo").distinct().count() == 4 and tasks.select(diffs.changed_lines(F.col("patch")).alias("n")).first().n == 2
+    nodes, edges, vectors = readers.mock_graph(spark)
+    assert nodes.first().name == "add_numbers" and edges.count() == 0 and len(vectors.first().vec) == 256
+    (tmp_path / "t.jsonl").write_text('{"instance_id": "own__repo-12", "created_at": "2024-05-06T01:02:03Z"}\n{"instance_id": "x", "created_at": "soon"}\n')
+    described = readers.described_tasks(spark, f"{tmp_path}/t.jsonl").collect()
+    assert [(r.repo, r.created_ts is None) for r in described] == [("own/repo", False), ("", True)]
+    (tmp_path / "f.csv").write_text("name,size\na.py,3\n")
+    assert tuple(readers.listing(spark, f"{tmp_path}/f.csv").first()) == ("a.py", 3)
+    for name, content in (("d/a.py", b"x"), ("d/b.PY", b"yy"), ("d/e/c.py", b"zzz"), ("d/e/f/g.py", b"far"), ("d/t.md", b"caf\xc3\xa9")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    files = readers.inventory(spark, f"{tmp_path}/d")
+    assert {(r.ext, r.n) for r in readers.by_extension(files, f"{tmp_path}/d", 1).collect()} == {(".py", 2), (".PY", 1), (".md", 1)}
+    assert sorted(r.text for r in readers.texts(spark, f"{tmp_path}/d", [".py", ".md"], 2).collect()) == ["x", "yy"] and readers.texts(spark, f"{tmp_path}/d", [".md"]).first().text == "café"
+    np.save(tmp_path / "v.npy", np.eye(2, dtype=np.float32))
+    assert [r.vec for r in readers.any_table(spark, f"{tmp_path}/v.npy").orderBy("row").collect()] == [[1.0, 0.0], [0.0, 1.0]]
+    assert readers.any_table(spark, f"{tmp_path}/t.jsonl").count() == 2
+    with pytest.raises(ValueError, match="no reader"):
+        readers.any_table(spark, "x.pickle")
+    docs = spark.createDataFrame([(1, "max_model_len 4096\nnone\nMax model len: 1\n\nmax-model-len\nmax_model_len again")], "k long, t string")
+    assert [r.line_no for r in readers.facts(docs, "k", "t", {"limit": "max[ _-]model[ _-]len"}).orderBy("line_no").collect()] == [0, 2, 4]
+    assert one(spark, "p: !include a.md\nq: !include ../b", lambda c: readers.included(c, {"a.md": "$1 text", "../b": "no"})) == "p: $1 text\nq: !include ../b"
+
+
+def test_more_sinks(spark, tmp_path):
+    events = spark.range(1).select(*sinks.telemetry_event("metric", "v1", F.struct(F.lit(0.5).alias("score")), F.lit("2024-01-02 03:04:05").cast("timestamp")))
+    assert tuple(events.first()) == ("2024-01-02T03:04:05Z", "v1", "metric", '{"score":0.5}')
+    with pytest.raises(ValueError, match="telemetry"):
+        sinks.telemetry_event("other", "v1", F.struct(F.lit(1).alias("x")))
+    assert sinks.config_json({"b": 1, "a": type("C", (), {"__init__": lambda self: self.__dict__.update(x=1, _y=2)})()}) == '{"a": {"x": 1}, "b": 1}'
+    results = spark.createDataFrame([("a", True, "diff", "log"), ("b", False, None, "log2")], "instance_id string, resolved boolean, patch string, trace string")
+    sinks.write_results(results, f"{tmp_path}/r")
+    assert spark.read.json(f"{tmp_path}/r/summary").first().resolution_rate == 0.5 and spark.read.json(f"{tmp_path}/r/task_results").count() == 2
+    assert spark.read.text(f"{tmp_path}/r/patches").first().instance_id == "a" and spark.read.text(f"{tmp_path}/r/traces").count() == 2
+    assert sinks.released("v1.2.3", "minor", "# Log\n", "more", "2024-01-02") == ("1.3.0", "# Log\n\n## [v1.3.0] - 2024-01-02\n- more\n")
+    registry = spark.createDataFrame([("n", "pending")], "name string, status string")
+    twice = spark.createDataFrame([("n", "done"), ("n", "also")], "name string, status string")
+    assert [r.status for r in sinks.update_registry(registry, twice, "name").collect()] == ["done"] and sinks.append_registry(registry, twice.drop("status")).count() == 3
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", " "), ("b", "diff")], "id string, prediction string")
     sinks.write_submission(df, f"{tmp_path}/s")
