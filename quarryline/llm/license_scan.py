@@ -29,6 +29,12 @@ TEMPLATES = {
     "MIT": "<<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> mit license",
     "MIT-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software",
     "BSD-3-Clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var;bullet;0;2>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;bullet;0;2>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <<var;bullet;0;2>> neither the name of <<var;organisation;1;12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "BSD-2-Clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var;bullet;0;2>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;bullet;0;2>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <<beginOptional>>this software is provided by <<var;holder;1;12>> as is<<endOptional>>",
+    "Zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "Unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    "Apache-2.0-header": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at <<var;address;1;10>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    "MIT-warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<var;holder;1;12>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "MPL-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at <<var;address;1;8>>",
     "ISC": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "CC-BY-NC-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by nc 4 0 <<beginOptional>>license<<endOptional>>",
     "CC-BY-SA-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by sa 4 0 <<beginOptional>>license<<endOptional>>",
@@ -170,7 +176,9 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
 
     A null text counts as empty: no words, no places, empty labels, null places. first_word and last_word are the smallest
     and largest start of a phrase. labels has the phrases' labels and those of the notices. score is 1 for a whole notice,
-    0.5 for a phrase alone, else 0. There is no shuffle; other columns are left out.
+    0.5 for a phrase alone, else 0. Texts of any length are read whole; of places that tie the smallest and largest are
+    given; repeated rows are scanned each; an empty table gives an empty result. There is no shuffle; other columns are left
+    out, those with names of the result's too.
     """
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarryline.llm import chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, packing, quality, url_filter
 from quarryline.llm.common import read
@@ -70,7 +71,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra), whole=True))
 
 
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page URLs with redirects between them: each page's URL leads to that of the page with half its id, but for every third."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    half = F.floor(F.col("page_id") / 2).cast("long")
+    edges = pages.where("page_id % 3 <> 0").select(half.alias("to"), F.col("url").alias("src"))
+    edges = edges.join(pages.select(F.col("page_id").alias("to"), F.col("url").alias("dst")), "to").select("src", "dst")
+    return url_filter.judge_urls(pages, url_filter.RULES, edges).select("page_id", "rule", "verdict")
+
+
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the licence phrases in all documents."""
+    return op9_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def chat_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted windows."""
+    return op10_chat_format(spark, sf_dir).drop("formatted_chars")
+
+
 QUERIES = {
+    "url_aliases": url_aliases,
+    "license_phrases": license_phrases,
+    "chat_digests": chat_digests,
     "op1_fingerprint": op1_fingerprint,
     "op2_decontaminate": op2_decontaminate,
     "op3_lm_score": op3_lm_score,
@@ -83,4 +106,33 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
 }
 
-ORACLE: dict = {}
+_HOST = "translate(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END, '^[^/?#]*([^?#]*)', 1)"
+_FITS = """
+    u AS (SELECT page_id, url, coalesce({host}, '') AS host, coalesce({path}, '') AS path FROM pages),
+    rules AS (SELECT * FROM (VALUES ('allow', 'org', '/', 'org/'), ('block', 'example.org', '/es/', 'example.org/es/'), ('block', 'example.org', '/en/1', 'example.org/en/1'), ('allow', 'com', '/fr/', 'com/fr/'), ('block', 'com', '/de/', 'com/de/')) r(verdict, own, start, rule)),
+    fits AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM u JOIN rules ON (host = own OR ends_with(host, '.' || own)) AND (start = '/' OR starts_with(path, start)) GROUP BY page_id)"""
+_JUDGED = _FITS.replace("{host}", _HOST).replace("{path}", _PATH)
+
+#: SQL for what SQL can say: no page of the given tables states a canonical link or a refresh, so a URL without rule is allowed.
+ORACLE = {
+    "op4_url_filter": f"WITH {_JUDGED} SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits ON u.page_id = fits.page_id",
+    "url_aliases": f"""
+        WITH RECURSIVE {_JUDGED}, e AS (SELECT a.page_id AS x, b.page_id AS y FROM pages a JOIN pages b ON b.page_id = a.page_id // 2 WHERE a.page_id % 3 <> 0),
+             same AS (SELECT a.page_id AS x, b.page_id AS y FROM pages a JOIN pages b ON a.url = b.url AND a.page_id <> b.page_id), links AS (SELECT x, y FROM e UNION SELECT y, x FROM e UNION SELECT x, y FROM same),
+             reach AS (SELECT page_id AS x, page_id AS y FROM pages UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+             bad AS (SELECT DISTINCT r.x AS page_id FROM reach r JOIN fits ON r.y = fits.page_id AND fits.verdict = 'block' WHERE EXISTS (SELECT 1 FROM links WHERE links.x = r.x))
+        SELECT u.page_id, rule, coalesce(fits.verdict, CASE WHEN bad.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN fits ON u.page_id = fits.page_id LEFT JOIN bad ON bad.page_id = u.page_id""",
+    "license_phrases": """
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words FROM documents),
+             p AS (SELECT doc_id, unnest(generate_series(1, len(words))) AS k, words FROM w),
+             h AS (SELECT doc_id, k - 1 AS place, CASE WHEN array_to_string(words[k:k + 3], ' ') = 'gnu general public license' THEN 'gpl' WHEN array_to_string(words[k:k + 1], ' ') = 'apache license' THEN 'apache'
+                                 WHEN array_to_string(words[k:k + 1], ' ') = 'cc by' THEN 'cc-by' WHEN array_to_string(words[k:k + 1], ' ') = 'mit license' THEN 'mit' END AS label FROM p),
+             g AS (SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM h WHERE label IS NOT NULL GROUP BY doc_id)
+        SELECT w.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word, coalesce(labels, '') AS base_labels FROM w LEFT JOIN g ON w.doc_id = g.doc_id""",
+    "chat_digests": """
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               length(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_chars,
+               sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256 FROM c GROUP BY conv_id""",
+}

@@ -16,7 +16,8 @@ from quarryline.llm.components import connected_components
 # The rules of the registered query.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
-# A tag of the kind, then the attribute that names the other URL.
+# Comments and scripts, whose tags do not count; then a tag of the kind, and the attribute that names the other URL.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'>\s]+)"
 REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'>\s]+)"
 
@@ -44,36 +45,49 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> C
 
 
 def node(url: Column) -> Column:
-    """A URL without its fragment, which never reaches the server."""
-    return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    """A URL as the server sees it: scheme and host in lower case, dots of the path resolved, without its fragment."""
+    bare = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    head = F.regexp_extract(bare, r"(?s)^([^:/?#]+://[^/?]*)", 1)
+    rest = F.substr(bare, F.length(head) + 1)
+    path, query = F.regexp_extract(rest, r"(?s)^([^?]*)", 1), F.regexp_extract(rest, r"(?s)^[^?]*(.*)$", 1)
+    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+    none = F.array().cast("array<string>")
+    step = lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise("")
+    resolved = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, none, step), "/"))
+    resolved = F.when(resolved.endswith("/"), resolved).otherwise(F.concat(resolved, tail))
+    dotted = path.rlike(r"(^|/)\.\.?(/|$)")
+    return F.when(head == "", bare).otherwise(F.concat(F.lower(head), F.when(dotted, resolved).when(path == "", F.lit("/")).otherwise(path), query))
 
 
 def absolute(link: Column, base: Column) -> Column:
-    """A link's URL, from the page's own: absolute, scheme-relative, root-relative or relative to the folder."""
+    """A link's URL, from the page's own: absolute, scheme-relative, root-relative, a query alone or relative to the folder."""
     root = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"(?s)^([^?#]*)", 1)
     folder = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(F.substring_index(base, "//", 1), link))
         .when(F.startswith(link, F.lit("/")), F.concat(root, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(page, link))
         .otherwise(F.concat(F.rtrim(folder, F.lit("/")), F.lit("/"), link))
     )
 
 
 def html_links(pages: DataFrame) -> DataFrame:
-    """(src, dst): canonical links and refresh redirects that pages state of themselves."""
-    found = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select(
-        "url", F.explode(F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))).alias("link")
-    )
+    """(src, dst): all canonical links and refresh redirects that pages state of themselves, outside comments and scripts."""
+    shown = F.regexp_replace("html", HIDDEN, "")
+    found = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select("url", shown.alias("html"))
+    found = found.select("url", F.explode(F.concat(*(F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)))).alias("link"))
     return found.where("link <> '' and url is not null").select(node(F.col("url")).alias("src"), node(absolute(F.replace("link", F.lit("&amp;"), F.lit("&")), F.col("url"))).alias("dst"))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame | None = None) -> DataFrame:
     """page_id, url, host, path, rule (null if none fits) and verdict for every row of pages (page_id, url, html).
 
-    redirects: more edges (src, dst) between URLs. Null urls fit no rule and have no aliases; repeated rows are judged
-    each; an empty table gives an empty result; other columns are left out. The rules are a short list (each is one
-    condition of the expression).
+    redirects: more edges (src, dst) between URLs. Null urls fit no rule and have no aliases; of rules of one length that of
+    the longer host decides; repeated rows are judged each; URLs and pages of any length are read whole; an empty table gives
+    an empty result; other columns are left out. The rules are a short list (each is one condition of the expression).
     """
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", "url", host.alias("host"), path.alias("path"), node(F.col("url")).alias("node"))

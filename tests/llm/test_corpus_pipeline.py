@@ -39,3 +39,37 @@ def test_repeated_and_missing_ids(spark):
     out = deduplicate(spark.createDataFrame(rows, "doc_id long, text string, doc_id_ string"))
     assert out.columns == ["doc_id", "text", "doc_id_"]
     assert sorted(r.text or "" for r in out.collect()) == ["", "a b c d e f g", "other words stand here for once"]
+
+
+def test_run_gives_what_its_stages_give(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    out = cp.run(spark, sf).collect()
+    assert out and len({(r.doc_id, r.piece) for r in out}) == len(out)
+    spans = defaultdict(list)
+    for r in out:
+        spans[r.sequence_id].append((r.offset, r.length))
+    for parts in spans.values():
+        ends = [0]
+        for offset, length in sorted(parts):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 4096
+
+
+def test_stages_on_empty_tables_odd_rows_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, quality_score string, kept string, leaks string, node string, component_id string"
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, None, None, "s", 0, "q", "k", "l", "n", "c"), (2, "", "en", None, 0, *"qklnc"), (None, words, "en", "s", 1, *"qklnc"), (3, words, "en", "s", 1, *"qklnc"), (3, "x " * 50_000, "en", "s", 1, *"qklnc")]
+    for name, part in (("empty", []), ("odd", rows)):
+        base = f"{tmp_path}/{name}"
+        spark.createDataFrame(part, schema).write.parquet(f"{base}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{base}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+        docs = spark.read.parquet(f"{base}/documents.parquet")
+        for k, (_, stage) in enumerate(cp.STAGES):
+            columns = docs.columns
+            stage(spark, docs, base).write.parquet(f"{base}/{k}")
+            docs = spark.read.parquet(f"{base}/{k}")
+            assert k == 3 or docs.columns == columns
+        got = docs.collect()
+        assert (got == []) if name == "empty" else len({(r.doc_id, r.piece) for r in got if r.piece == 0}) == 3

@@ -1,3 +1,7 @@
+import random
+
+from pyspark.sql import functions as F
+
 from quarryline.llm import url_filter as uf
 from quarryline.llm.components import connected_components
 
@@ -47,3 +51,47 @@ def test_components_of_a_long_path_and_a_star(spark):
     df = spark.createDataFrame(path[::-1] + star, "u long, v long")
     got = dict(connected_components(df, "u", "v").collect())
     assert got == {i: 100 for i in range(100, 141)} | {i: 7 for i in range(7, 60)}
+
+
+def test_edges_are_normalised(spark):
+    urls = ["HTTP://A.Net/b/../c?Q=1#f", "http://a.net", "http://a.net/x/./y/..", "http://a.net/%2e/../../z", "mailto:x", "http://a.net/a..b"]
+    got = [r.n for r in spark.createDataFrame([(u,) for u in urls], "u string").select(uf.node("u").alias("n")).collect()]
+    assert got == ["http://a.net/c?Q=1", "http://a.net/", "http://a.net/x/", "http://a.net/z", "mailto:x", "http://a.net/a..b"]
+    html = "<!-- <link rel=canonical href=http://no.net/> --><script>'<link rel=canonical href=http://no.org/>'</script><link rel='canonical' href='../k?a=1&amp;b=2'><link rel=canonical href=?q><meta http-equiv=refresh content='1; URL=//h.net/m'>"
+    links = uf.html_links(spark.createDataFrame([(1, "http://E.net/p/q/r", html)], SCHEMA)).collect()
+    assert sorted(r.dst for r in links) == ["http://e.net/p/k?a=1&b=2", "http://e.net/p/q/r?q", "http://h.net/m"]
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(6)
+    urls = [f"http://{rng.choice(['a.net', 'x.com', 'sub.example.org', 'b.org', 'com'])}/{rng.choice(['es', 'de', 'fr', 'en'])}/{k}" for k in range(120)]
+    edges = [(rng.choice(urls), rng.choice(urls)) for _ in range(45)]
+    rows = [(k, u, "") for k, u in enumerate(urls)] + [(0, urls[0], "")]
+    root = {u: u for u in urls}
+
+    def top(u):
+        while root[u] != u:
+            u = root[u]
+        return u
+
+    for a, b in edges:
+        root[top(a)] = top(b)
+
+    def rule(u):
+        host, path = u[7:].split("/", 1)
+        fits = [(len(r), v) for v, r in uf.RULES if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith(r.split("/", 1)[1])]
+        return max(fits)[1] if fits else None
+
+    blocked = {top(u) for u in urls if rule(u) == "block"}
+    want = {k: rule(u) or ("block" if top(u) in blocked else "allow") for k, u in enumerate(urls)}
+    assert {k: r.verdict for k, r in judge(spark, rows, edges).items()} == want
+
+
+def test_equal_lengths_long_urls_and_clashing_columns(spark):
+    rules = [("block", "aa.b/cc/"), ("allow", "a.b/cccc/"), ("block", "b/x")]
+    long = "http://aa.b/cc/" + "y" * 300_000
+    df = spark.createDataFrame([(1, long, "<p>" * 50_000, "n", 5), (2, "http://b/x", None, None, None)], SCHEMA + ", node string, component long")
+    got = {r.page_id: (r.rule, r.verdict) for r in uf.judge_urls(df, rules).collect()}
+    assert got == {1: ("aa.b/cc/", "block"), 2: ("b/x", "block")}
+    best = spark.createDataFrame([("a.b.c", "/dd")], "h string, p string").select(uf.matching_rule(F.col("h"), F.col("p"), [("allow", "c/dd"), ("block", "b.c/")]).alias("m")).first().m
+    assert best.rule == "b.c/"  # as long as c/dd, of the longer host
