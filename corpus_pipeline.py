@@ -2,6 +2,11 @@
 
 Quality first, so that later stages see less; then one document of each near-duplicate group (five-word shingles, similarity
 0.8) stays; then documents that hold a benchmark item go; what is left is tokenised and packed into sequences of 4096 tokens.
+
+All stages: a null text counts as empty, and empty ones pass every stage that filters; rows without doc_id and repeated rows
+are rows like others (near duplicates keeps one of equal rows that have words); texts of any length are read whole; of ties the
+smallest doc_id stays; an empty table gives an empty one; further columns are kept by all stages but the last, whatever their
+names, and tables without labels or benchmark items leave all rows.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarryline.llm import decontaminate, near_dup, packing, quality
-from quarryline.llm.common import read, written
+from quarryline.llm.common import read, temporary_tables, written
 from quarryline.llm.queries import word_vocabulary
 
 
@@ -48,5 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with temporary_tables(spark):  # what a stage writes on its way goes as soon as its result is written
+            docs = written(stage(spark, docs, sf_dir), name, keep=True)
     return docs
