@@ -56,21 +56,20 @@ def rising_buckets(rows: DataFrame, per_bucket: int, segments: int) -> tuple[dic
     # the number of starts that are not above the id, by bisection
     segment = F.aggregate(F.lit(steps or [1]), F.lit(0), lambda at, s: F.when(F.get(held, at + s - 1) <= F.col("doc_id"), at + s).otherwise(at))
     found = {r.s: r for r in rows.groupBy(segment.alias("s")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).collect()}
-    low, width, parts, base, total = [], [], [], [], 0
+    low, width, buckets, alone, base, total = [], [], [], [], [], 0
     for s in range(len(starts) + 1):
         r = found.get(s)
-        buckets = max(1, (r.n if r else 0) // per_bucket)
-        alone = bool(r) and r.low == r.high
-        low.append(r.low if r else 0)
-        width.append(1 if not r or alone else (r.high - r.low) // buckets + 1)
-        parts.append(buckets if alone else 0)
+        low.append(float(r.low) if r else 0.0)
+        buckets.append(max(1, r.n // per_bucket) if r else 1)
+        width.append(max(1.0, (r.high - r.low) / buckets[-1]) if r else 1.0)
+        alone.append(bool(r) and r.low == r.high)
         base.append(total)
-        total += buckets + 1
-    of = lambda values: F.get(F.lit(values).cast("array<bigint>"), F.col("s"))
-    by_id = F.expr("(doc_id - low) div width")
-    by_r = F.least(F.floor((F.col("r") / F.lit(2.0**64) + 0.5) * F.col("parts")), F.col("parts") - 1)
-    sub = F.when(F.col("parts") > 0, by_r).otherwise(by_id)
-    return {"s": segment}, {"low": of(low), "width": of(width), "parts": of(parts), "base": of(base)}, F.col("base") + sub, total
+        total += buckets[-1]
+    of = lambda values: F.get(F.lit(values), F.col("s"))
+    by_id = (F.col("doc_id").cast("double") - F.col("low")) / F.col("width")  # doubles keep the order
+    by_r = (F.col("r") / F.lit(2.0**64) + 0.5) * F.col("buckets")
+    sub = F.least(F.floor(F.when(F.col("alone"), by_r).otherwise(by_id)), F.col("buckets") - 1)
+    return {"s": segment}, {"low": of(low), "width": of(width), "buckets": of(buckets), "alone": of(alone), "base": of(base)}, F.col("base") + sub, total
 
 
 def following(keys: DataFrame, count: int, fan: int = 4096) -> DataFrame:
@@ -108,10 +107,9 @@ def with_next(rows: DataFrame, per_bucket: int = 64, segments: int = 1024, many:
     segment, values, bucket, count = rising_buckets(rows.select("doc_id", "r"), per_bucket, segments)
     rows = rows.withColumns(segment).withColumns(values).select("doc_id", "text", "r", bucket.cast("long").alias("b"))
     w = Window.partitionBy("b").orderBy(F.desc("doc_id"), F.desc("r"), F.desc("text"))
-    within = rows.withColumns({"next_id": F.lead("doc_id").over(w), "next_r": F.lead("r").over(w), "next_text": F.lead("text").over(w)})
-    # the first row of each bucket
-    heads = rows.groupBy("b").agg(F.max(F.struct("doc_id", "r", "text")).alias("head"))
-    heads = heads.select(F.col("b").alias("next_b"), F.col("head.doc_id").alias("h_id"), F.col("head.text").alias("h_text"), F.col("head.r").alias("h_r"))
+    within = rows.withColumns({"next_id": F.lead("doc_id").over(w), "next_r": F.lead("r").over(w), "next_text": F.lead("text").over(w), "k": F.row_number().over(w)})
+    # the first row of each bucket, from the same exchange
+    heads = within.where("k = 1").select(F.col("b").alias("next_b"), F.col("doc_id").alias("h_id"), F.col("text").alias("h_text"), F.col("r").alias("h_r"))
     after = following(rows.select("b").distinct(), count)
     last = within.join(after.join(heads, "next_b").drop("next_b"), "b", "left")
     own = F.col("next_id").isNotNull()
