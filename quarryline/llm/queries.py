@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, packing, quality, url_filter
+from quarryline.llm import alignment, chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, packing, quality, url_filter
 from quarryline.llm.common import read
 
 
@@ -71,6 +71,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra), whole=True))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut by two tokenizers, aligned, with corpus-wide counts of linked ids."""
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_documents(read(spark, sf_dir, "documents"), *paths)
+
+
 def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs with redirects between them: each page's URL leads to that of the page with half its id, but for every third."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -104,6 +112,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
+    "op11_align": op11_align,
 }
 
 _HOST = "translate(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
