@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import alignment, chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, packing, quality, url_filter
+from quarryline.llm import alignment, chat_format, decontaminate, fingerprint, html_extract, license_scan, lm_score, near_dup, negatives, packing, quality, simhash, url_filter
 from quarryline.llm.common import read
 
 
@@ -79,6 +79,18 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(read(spark, sf_dir, "documents"), *paths)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector for its five nearest of the same label; every seventh has the next label."""
+    rows = negatives.quantised(read(spark, sf_dir, "embeddings"), "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their near-duplicate groups."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs with redirects between them: each page's URL leads to that of the page with half its id, but for every third."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -113,6 +125,8 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
     "op11_align": op11_align,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }
 
 _HOST = "translate(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -132,6 +146,13 @@ ORACLE = {
              reach AS (SELECT page_id AS x, page_id AS y FROM pages UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
              bad AS (SELECT DISTINCT r.x AS page_id FROM reach r JOIN fits ON r.y = fits.page_id AND fits.verdict = 'block' WHERE EXISTS (SELECT 1 FROM links WHERE links.x = r.x))
         SELECT u.page_id, rule, coalesce(fits.verdict, CASE WHEN bad.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM u LEFT JOIN fits ON u.page_id = fits.page_id LEFT JOIN bad ON bad.page_id = u.page_id""",
+    "op12_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score FROM e a JOIN e ON a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10""",
     "license_phrases": """
         WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words FROM documents),
              p AS (SELECT doc_id, unnest(generate_series(1, len(words))) AS k, words FROM w),
