@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.operators import search
+from quarryline.session import stored
+
 # What the ends and kinds of edges are called.
 SOURCE_KEYS, TARGET_KEYS = ["source", "src", "from", "caller", "u"], ["target", "dst", "to", "callee", "v"]
 KIND_KEYS = ["type", "kind", "relation", "label", "edge_type", "rel"]
@@ -35,22 +40,28 @@ def symbol_nodes(nodes: DataFrame, symbols: DataFrame) -> DataFrame:
 
 
 def resolved(names: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(name, id, tier): for each name the node that it means: as it is, as an end, in any case, as a part; the smallest id of equal ones.
+    """(name, id, tier): for each name (name) the node (id) that it means; the smallest id of equal tiers.
 
-    names is a stated set of questions, and is sent to all tasks behind a check of its size.
+    0: the name is the id; 1: it is what follows a dot, slash or hash in it; 2: it is the id in another case; 3: it is a part of it.
+    Three tiers are joins on equality; parts are found by postings of their letters (see search.containing). Empty names mean nothing.
     """
-    if names.count() > 10_000:
-        raise ValueError("at most 10,000 names at a time")
-    same = F.col("id") == F.col("asked")
-    tier = (
-        F.when(same, 0)
-        .when(F.endswith("id", F.col("asked")), 1)
-        .when(F.lower("id") == F.lower("asked"), 2)
-        .when(F.contains("id", F.col("asked")), 3)
-    )
-    rows = nodes.select("id").join(F.broadcast(names.select(F.col("name").alias("asked"))), tier.isNotNull())
-    best = rows.groupBy("asked").agg(F.min(F.struct(tier.alias("tier"), "id")).alias("x"))
-    return best.select(F.col("asked").alias("name"), "x.id", F.col("x.tier").cast("long").alias("tier"))
+    asked, ids = names.where("name <> ''").select("name").distinct(), nodes.select("id").distinct()
+    ends = ids.select("id", F.explode(F.array_distinct(tails(F.col("id")))).alias("name"))
+    low = asked.select("name", F.lower("name").alias("low")).join(ids.select("id", F.lower("id").alias("low")), "low")
+    tiers = [
+        asked.join(ids.select("id", F.col("id").alias("name")), "name").select("name", "id", F.lit(0).alias("tier")),
+        asked.join(ends, "name").select("name", "id", F.lit(1).alias("tier")),
+        low.select("name", "id", F.lit(2).alias("tier")),
+        search.containing(ids, "id", "id", asked.select(F.col("name").alias("needle"))).select(F.col("needle").alias("name"), F.col("key").alias("id"), F.lit(3).alias("tier")),
+    ]
+    best = reduce(DataFrame.unionByName, tiers).groupBy("name").agg(F.min(F.struct("tier", "id")).alias("x"))
+    return best.select("name", "x.id", F.col("x.tier").cast("long").alias("tier"))
+
+
+def tails(node: Column) -> Column:
+    """What follows each dot, slash or hash in a node's id."""
+    at = F.filter(F.sequence(F.lit(1), F.length(node)), lambda k: F.substr(node, k, F.lit(1)).isin(".", "/", "#"))
+    return F.transform(at, lambda k: F.substr(node, k + 1))
 
 
 def neighbours(edges: DataFrame, node: str, kind: str | None = None, most: int = 50) -> DataFrame:
@@ -86,15 +97,14 @@ def hits(ranks: DataFrame, group: str, ks: tuple[int, ...] = (1, 5, 10)) -> Data
 def artifact_matches(tasks: DataFrame, files: DataFrame) -> DataFrame:
     """(instance_id, path): the file of each task by its first key that a path contains: id, commit in 12 and 7 letters, repository.
 
-    Keys have four letters at least; of several paths the shortest counts. Paths are met by their pieces between separators where
-    they hold a whole key, and by containment for the rest; files is a listing, sent to all tasks behind a check of its size.
+    Keys have four letters at least; of several paths the shortest counts, then the smallest. Paths are found by postings of the
+    keys' letters (see search.containing), each key once however many tasks have it.
     """
-    if files.count() > 100_000:
-        raise ValueError("at most 100,000 files at a time")
     keys = F.array(F.col("instance_id"), F.substr("base_commit", F.lit(1), F.lit(12)), F.substr("base_commit", F.lit(1), F.lit(7)), F.replace("repo", F.lit("/"), F.lit("__")), F.element_at(F.split("repo", "/"), -1))
-    asked = tasks.select("instance_id", F.posexplode(keys).alias("place", "key")).where(F.length("key") >= 4)
-    found = asked.join(F.broadcast(files.select("path")), F.contains("path", F.col("key")))
-    best = found.groupBy("instance_id").agg(F.min(F.struct("place", F.length("path").alias("n"), "path")).alias("x"))
+    asked = tasks.select("instance_id", F.posexplode(keys).alias("place", "needle")).where(F.length("needle") >= 4)
+    found = search.containing(files.select("path").distinct(), "path", "path", asked.select("needle"))
+    shortest = found.groupBy("needle").agg(F.min(F.struct(F.length("key").alias("n"), F.col("key").alias("path"))).alias("x"))
+    best = asked.join(shortest, "needle").groupBy("instance_id").agg(F.min_by("x", "place").alias("x"))
     return best.select("instance_id", "x.path")
 
 
@@ -125,9 +135,44 @@ def principal_components(vectors: DataFrame, key: str, column: str, k: int = 2)
 
 
 def sharded(df: DataFrame, order: str, shard: int, shards: int) -> DataFrame:
-    """Every shards-th row in order, from row shard on. Rows are numbered by counts of ranges first, so no task orders them all."""
-    ranged = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("n"))
-    before = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("before"))  # one row a range
-    placed = ranged.join(F.broadcast(before), "_part")
-    return placed.where(F.pmod(F.col("before") + F.col("_at"), F.lit(shards)) == shard).drop("_part", "_at", "before")
+    """Every shards-th row in order, from row shard on; rows of equal order stand in any order, but always in the same.
+
+    The ranges are stored once with each row's place in its range, so that counting and picking see the same ranges; the rows
+    before a range are the sum of those counts. No task orders all rows, and equal values are spread by a hash of the row.
+    """
+    names = [f"_{k}" for k in range(3)]
+    spread = F.xxhash64(*(F.col(f"`{c}`") if not kind.startswith(("map", "variant")) else F.lit(0) for c, kind in df.dtypes))
+    ranged = df.withColumn(names[0], spread).repartitionByRange(order, names[0]).sortWithinPartitions(order, names[0])
+    placed = stored(ranged.withColumns({names[1]: F.spark_partition_id(), names[2]: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "shards")
+    sizes = placed.groupBy(names[1]).agg(F.count("*").alias("n"))
+    before = sizes.select(names[1], (F.sum("n").over(Window.orderBy(names[1])) - F.col("n")).alias("before"))  # one row a range
+    return placed.join(F.broadcast(before), names[1]).where(F.pmod(F.col("before") + F.col(names[2]), F.lit(shards)) == shard).select(*(f"`{c}`" for c in df.columns))
+
+
+def ego_graphs(edges: DataFrame, centers: DataFrame, least: int = 8, most: int = 40) -> DataFrame:
+    """(center, node, degree, place): the neighbourhood of each center (node) in edges (source, target), whatever their direction.
+
+    One step from the center, or two where one leads to fewer than least nodes with it; of these the center and then those of
+    the highest degree, up to most. A neighbour can only bring in the most nodes of highest degree next to it, so each list is
+    cut to those before it is joined: a hub behind a small center gives most rows, not all of its neighbours.
+    """
+    pairs = edges.select(F.col("source").alias("a"), F.col("target").alias("b")).where("a <> b")
+    pairs = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "pairs")
+    degrees = stored(pairs.groupBy("a").agg(F.count("*").alias("degree")), "degrees")
+    asked = centers.select(F.col("node").alias("center")).distinct().join(degrees.withColumnRenamed("a", "center"), "center", "left")
+    asked = asked.select("center", F.coalesce("degree", F.lit(0)).alias("degree"))
+
+    def best_neighbours(nodes: DataFrame) -> DataFrame:
+        """(a, b, degree): of each node (a) the most neighbours of highest degree."""
+        near = pairs.join(nodes, "a", "left_semi").join(degrees.select(F.col("a").alias("b"), "degree"), "b")
+        place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("degree"), "b"))
+        return near.withColumn("place", place).where(F.col("place") <= most).select("a", "b", "degree")
+
+    one = stored(best_neighbours(asked.select(F.col("center").alias("a"))), "one")
+    wide = asked.where(F.col("degree") + 1 < least).select("center")
+    steps = one.join(wide, one["a"] == wide["center"], "left_semi").select(F.col("a").alias("center"), F.col("b").alias("a"))
+    two = steps.join(best_neighbours(steps.select("a").distinct()), "a").select("center", F.col("b").alias("node"), "degree")
+    near = one.select(F.col("a").alias("center"), F.col("b").alias("node"), "degree").unionByName(two).where("center <> node").distinct()
+    every = near.unionByName(asked.select("center", F.col("center").alias("node"), "degree"))
+    place = F.row_number().over(Window.partitionBy("center").orderBy(F.col("node") != F.col("center"), F.desc("degree"), "node"))
+    return every.withColumn("place", place.cast("long")).where(F.col("place") <= most)

@@ -79,7 +79,7 @@ RANKED = "SELECT page_id % 40 AS task, path, row_number() OVER (PARTITION BY pag
 
 def path_gold_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = sql(spark, sf_dir, RANKED)
-    gold = ranked.where("page_id < 400 and path <> ''").select("task", F.element_at(F.split("path", "/"), -1).alias("path")).where("path <> ''")
+    gold = ranked.where("page_id % 50 = 0 and path <> ''").select("task", F.element_at(F.split("path", "/"), -1).alias("path")).where("path <> ''")
     return retrieval.gold_rank(ranked.where("path <> ''").select("task", "path", "k"), gold)
 
 
@@ -95,13 +95,13 @@ NODES = "SELECT p_partkey AS k, p_brand || '/mod' || CAST(p_partkey AS STRING) |
 
 
 def graph_symbol_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    symbols = sql(spark, sf_dir, "SELECT DISTINCT CAST(p_size AS STRING) AS symbol FROM part WHERE p_size < 6 UNION ALL SELECT p_name FROM part WHERE p_partkey < 10")
+    symbols = sql(spark, sf_dir, "SELECT DISTINCT CAST(p_size AS STRING) AS symbol FROM part WHERE p_size < 6 UNION ALL SELECT p_name FROM part WHERE p_partkey % 50 = 0")
     rows = retrieval.symbol_nodes(sql(spark, sf_dir, NODES).select("id", "name"), symbols)
     return rows.select("id", "name", retrieval.node_tail(F.col("id")).alias("tail"), retrieval.node_label(F.col("id")).alias("label"))
 
 
 def graph_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = sql(spark, sf_dir, f"SELECT DISTINCT CASE k % 5 WHEN 0 THEN id WHEN 1 THEN substr(id, 10) WHEN 2 THEN upper(id) WHEN 3 THEN substr(id, 3, 9) ELSE 'nowhere' END AS name FROM ({NODES}) a WHERE k < 60")
+    names = sql(spark, sf_dir, f"SELECT DISTINCT CASE k % 5 WHEN 0 THEN id WHEN 1 THEN substr(id, 10) WHEN 2 THEN upper(id) WHEN 3 THEN substr(id, 3, 9) ELSE 'nowhere' END AS name FROM ({NODES}) a")
     return retrieval.resolved(names, sql(spark, sf_dir, NODES).select("id"))
 
 
@@ -129,7 +129,7 @@ def vec_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.sharded(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 3, 7)
+    return retrieval.sharded(table(spark, sf_dir, "documents"), "doc_id", 3, 7)
 
 
 def fn_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,14 +242,14 @@ ORACLE = {
                           contains(text, '```') OR contains(text, chr(10) || '    ') AS code, hinted FROM l), a AS (SELECT *, path OR module OR symbol OR traceback AS any_place FROM s)
         SELECT lang, count(*) AS n, {", ".join(f"round(count(*) FILTER ({s}) / count(*), 9) AS {s}" for s in _SIGNS)} FROM a GROUP BY ROLLUP (lang)""",
     "path_gold_rank": f"""
-        WITH r AS (SELECT * FROM ({RANKED}) a WHERE path <> ''), g AS (SELECT task, regexp_extract(path, '([^/]*)$', 1) AS path FROM r WHERE page_id < 400)
+        WITH r AS (SELECT * FROM ({RANKED}) a WHERE path <> ''), g AS (SELECT task, regexp_extract(path, '([^/]*)$', 1) AS path FROM r WHERE page_id % 50 = 0)
         SELECT r.task, min(k) AS rank FROM r JOIN g ON r.task = g.task AND g.path <> '' AND (r.path = g.path OR ends_with(r.path, '/' || g.path) OR ends_with(g.path, '/' || r.path)) GROUP BY r.task""",
     "graph_symbol_nodes": """
         SELECT DISTINCT p_brand || '/mod' || p_partkey || '.' || replace(p_type, ' ', '_') || '#' || p_size AS id, p_name AS name, CAST(p_size AS VARCHAR) AS tail, replace(p_type, ' ', '_') || '.' || p_size AS label
-        FROM part WHERE p_size < 6 OR p_name IN (SELECT p_name FROM part WHERE p_partkey < 10) OR p_name IN (SELECT CAST(p_size AS VARCHAR) FROM part WHERE p_size < 6) OR CAST(p_size AS VARCHAR) IN (SELECT p_name FROM part WHERE p_partkey < 10)""",
+        FROM part WHERE p_size < 6 OR p_name IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0) OR p_name IN (SELECT CAST(p_size AS VARCHAR) FROM part WHERE p_size < 6) OR CAST(p_size AS VARCHAR) IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0)""",
     "graph_resolve": f"""
-        WITH n AS ({NODES}), q AS (SELECT DISTINCT CASE k % 5 WHEN 0 THEN id WHEN 1 THEN substr(id, 10) WHEN 2 THEN upper(id) WHEN 3 THEN substr(id, 3, 9) ELSE 'nowhere' END AS name FROM n WHERE k < 60),
-             m AS (SELECT q.name, n.id, CASE WHEN n.id = q.name THEN 0 WHEN ends_with(n.id, q.name) THEN 1 WHEN lower(n.id) = lower(q.name) THEN 2 WHEN contains(n.id, q.name) THEN 3 END AS tier FROM q, n)
+        WITH n AS ({NODES}), q AS (SELECT DISTINCT CASE k % 5 WHEN 0 THEN id WHEN 1 THEN substr(id, 10) WHEN 2 THEN upper(id) WHEN 3 THEN substr(id, 3, 9) ELSE 'nowhere' END AS name FROM n),
+             m AS (SELECT q.name, n.id, CASE WHEN n.id = q.name THEN 0 WHEN ends_with(n.id, '.' || q.name) OR ends_with(n.id, '/' || q.name) OR ends_with(n.id, '#' || q.name) THEN 1 WHEN lower(n.id) = lower(q.name) THEN 2 WHEN contains(n.id, q.name) THEN 3 END AS tier FROM q, n)
         SELECT name, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY tier, id) AS r FROM m WHERE tier IS NOT NULL) x WHERE r = 1""",
     "graph_edges": """
         WITH e AS (SELECT l_suppkey % 5 AS graph, l_suppkey AS s, l_partkey AS t, max(CASE WHEN l_linenumber % 4 = 3 THEN 'edge' ELSE l_returnflag END) AS type FROM lineitem GROUP BY 1, 2, 3),
@@ -260,7 +260,7 @@ ORACLE = {
     "vec_histogram": """
         WITH n AS (SELECT sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm FROM embeddings)
         SELECT CAST(CASE WHEN norm < 0 THEN 0 WHEN norm >= 20 THEN 11 ELSE floor(norm / 2) + 1 END AS BIGINT) AS bin, count(*) AS n FROM n GROUP BY 1""",
-    "shard_rows": "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents) a WHERE k % 7 = 3",
+    "shard_rows": "SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM documents) a WHERE k % 7 = 3",
     "fn_scalars": """
         SELECT p_partkey AS id, CASE WHEN p_partkey % 7 <> 0 THEN (p_size + 1) || '.0.0' END AS major, CASE WHEN p_partkey % 7 <> 0 THEN p_size || '.3.0' END AS minor, CASE WHEN p_partkey % 7 <> 0 THEN p_size || '.2.' || (p_partkey + 1) END AS patch,
                CASE p_partkey % 5 WHEN 0 THEN 12 WHEN 1 THEN -7 ELSE -1 END AS number, p_name || '-' || p_name || '-{c}' AS filled, 3 AS n_items,

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(app: str = "quarryline", cpus: str | None = None, partitions: int = 8) -> SparkSession:
@@ -52,3 +54,15 @@ def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
         if re.search(rf"\b{t}\b", text):
             table(spark, sf_dir, t).createOrReplaceTempView(t)
     return spark.sql(text)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: computed once, whatever reads it and whichever executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, rows: int = 1 << 17) -> DataFrame:
+    """A stored table as a side to broadcast if it has at most so many rows; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
