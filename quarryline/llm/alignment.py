@@ -11,12 +11,15 @@ aggregation, their answers one join in which a pair has a row a block at most, s
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from quarryline.llm.common import arrow_rows, small_side, temporary_tables, written
 from quarryline.llm.packing import byte_chars
 
-BLOCK, CHUNK, AT_ONCE = 16 << 20, 8192, 1 << 20
+BLOCK, CHUNK, AT_ONCE, CACHE = 16 << 20, 8192, 1 << 20, 500_000
 NONE = np.zeros(0, np.int64)
 
 
@@ -49,14 +52,18 @@ EMPTY = Alignment(*[NONE] * 7)
 
 def aligned(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
     """Both cuts of one text laid over each other. Tokens have a byte at least and both sides end at the same byte."""
-    ends = np.union1d(ends_a, ends_b)
-    shared = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
-    return Alignment(ids_a, ids_b, ends_a, ends_b, shared, np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends))
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # union1d of arrays in order: two runs are merged
+    ends = ends[np.append(ends[1:] != ends[:-1], len(ends) > 0)]
+    link_a, link_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    shared = ends[(ends_a[link_a] == ends) & (ends_b[link_b] == ends)]
+    return Alignment(ids_a, ids_b, ends_a, ends_b, shared, link_a, link_b)
 
 
 class Tokenizers:
     """A byte-level vocabulary (A, for tokenizers) and a piece vocabulary (B, for sentencepiece) with the bytes of their tokens."""
 
+    # The words that A's byte-level splitting makes, where Unicode tables cannot differ: ASCII without odd controls, and Latin letters.
+    PLAIN, WORD = re.compile("[\t\n\r -~\u00c0-\u024f]*"), regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
     _of: dict[tuple, Tokenizers] = {}
 
     def __init__(self, path_a: str, path_b: str) -> None:
@@ -66,6 +73,9 @@ class Tokenizers:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        split = json.loads(self.a.to_str())
+        self.by_words = split["normalizer"] is None and split["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.cache: dict[str, bytes | None] = {}
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         chars = byte_chars()
         names = self.a.get_vocab()
@@ -93,19 +103,42 @@ class Tokenizers:
                 size += len(texts[to] or "")
                 to += 1
             part = texts[at:to]
-            left = self.a.encode_batch_fast([" " + t if t else "" for t in part], add_special_tokens=False)
             right = self.b.encode([t or "" for t in part], num_threads=1)
-            for text, a, b in zip(part, left, right, strict=True):
-                yield self._one(text, a.ids, b)
+            for text, a, b in zip(part, self.ids_a(part), right, strict=True):
+                yield self._one(text, a, b)
             at = to
 
-    def _one(self, text: str | None, a: list[int], b: list[int]) -> Alignment:
-        if not text:
+    def ids_a(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """A's ids of each text behind a space; None where there is no text or the tokens' bytes are not its own.
+
+        Plain texts are put together from their words, which are encoded once while the cache holds them; others, and those with
+        words of over 64 characters, go to the tokenizer as a whole.
+        """
+        words = [self.WORD.findall(" " + t) if t and self.by_words and self.PLAIN.fullmatch(t) else None for t in texts]
+        words = [w if w and max(map(len, w)) <= 64 else None for w in words]
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        new = list(set().union(*(w for w in words if w)) - self.cache.keys())
+        for word, x in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            whole = b"".join(map(self.bytes_a.__getitem__, x.ids)) == word.encode()
+            self.cache[word] = np.array(x.ids, np.int64).tobytes() if whole else None
+        rest = iter(self.a.encode_batch_fast([" " + t for t, w in zip(texts, words, strict=True) if t and not w], add_special_tokens=False))
+        out: list[np.ndarray | None] = []
+        for text, w in zip(texts, words, strict=True):
+            if w:
+                parts = list(map(self.cache.__getitem__, w))
+                out.append(None if None in parts else np.frombuffer(b"".join(parts), np.int64))
+            elif text:
+                ids = next(rest).ids
+                out.append(np.array(ids, np.int64) if b"".join(map(self.bytes_a.__getitem__, ids)) == b" " + text.encode() else None)
+            else:
+                out.append(None)
+        return out
+
+    def _one(self, text: str | None, ids_a: np.ndarray | None, b: list[int]) -> Alignment:
+        if ids_a is None or b"".join(map(self.bytes_b.__getitem__, b)) != b" " + text.encode():
             return EMPTY
-        raw = b" " + text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return EMPTY
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        ids_b = np.array(b, np.int64)
         return aligned(ids_a, ids_b, self.sizes_a[ids_a].cumsum(), self.sizes_b[ids_b].cumsum())
 
     def groups_text(self, x: Alignment) -> bytes:
