@@ -81,7 +81,9 @@ class MemberReader(DataSourceReader):
     def _wanted(self, name: str, size: int) -> bool:
         return name.endswith(self.suffix) and (self.most_bytes is None or size <= self.most_bytes)
 
-    def read(self, partition: Members) -> Iterator[tuple]:
+    def read(self, partition: Members | None) -> Iterator[tuple]:
+        if partition is None:  # there are no files
+            return
         text = lambda raw: raw.decode("utf-8", "replace")
         store, _ = self._open(self.path)
         with store.open_input_file(partition.path) as file:
