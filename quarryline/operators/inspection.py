@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.text import stripped
+from quarryline.operators.configs import yaml_facts
 
 # Words and patterns of each scan, names of checks, labels with their words in order of precedence, limits of bundles.
 LEAK_WORDS = ["test_patch", "instance_id", "solution", "answer", "ground_truth", "gold_patch", "reference_patch"]
@@ -26,7 +27,7 @@ TECHNIQUES = [
 ]
 FORBIDDEN = [".bin", ".pt", ".pth", ".pkl", ".pickle"]
 ROOT_CONFIG, ADAPTERS, ADAPTER_CONFIG, WEIGHTS = "agent.yaml", "adapters", "adapter_config.json", ".safetensors"
-MOST_BYTES, MOST_ADAPTERS, MOST_RANK, MOST_OUTPUT, MOST_THINKING = 3 * 1024**3, 8, 128, 32768, 16384
+MOST_BYTES, MOST_ADAPTERS, MOST_RANK = 3 * 1024**3, 8, 128
 
 
 def has_any(text: Column, words: list[str]) -> Column:
@@ -173,7 +174,7 @@ def bundle_checks(files: DataFrame) -> DataFrame:
     """(bundle, name, passed) of ten checks over the files of each bundle.
 
     files: (bundle, path within the bundle, length, is_link, content); content is needed of YAML files and adapter configurations,
-    null elsewhere. In YAML the top-level model, and in the root's generate_content_config the token limits, are read by lines.
+    null elsewhere. YAML that can't be read fails yaml_schema, in the root's configuration token_limits too; it names no model.
     A bundle's files meet in sums and bounded sets, none is collected.
     """
     path, content = F.col("path"), F.coalesce("content", F.lit(""))
@@ -185,16 +186,16 @@ def bundle_checks(files: DataFrame) -> DataFrame:
     inside = path.rlike(f"^{ADAPTERS}/[^/]+/[^/]+$")
     rank = F.coalesce(F.nullif(F.get_json_object(content, "$.r"), F.lit("0")), F.get_json_object(content, "$.lora_rank"))
     root = path == ROOT_CONFIG
-    limit = lambda key: F.nullif(F.regexp_extract(content, rf"(?m)^\s+{key}:\s*(-?\d+)\s*$", 1), F.lit("")).cast("decimal(38,0)")
-    model = F.nullif(F.regexp_extract(content, r"(?m)^model:[ \t]*(.+?)[ \t]*$", 1), F.lit(""))
+    facts = yaml_facts(F.when(yaml, content))
+    files = files.withColumn("_yaml", facts)
+    model, unreadable = F.col("_yaml.model"), yaml & ~F.col("_yaml.readable")
     flag = lambda c: F.max(F.coalesce(c, F.lit(False)))
-    has_config = F.contains(content, F.lit("generate_content_config:"))
-    bad_limits = root & has_config & (~F.coalesce(limit("max_output_tokens"), F.lit(1)).between(1, MOST_OUTPUT) | ~F.coalesce(limit("thinking_budget"), F.lit(0)).between(0, MOST_THINKING))
+    bad_limits = root & ~F.col("_yaml.limits_ok")
     parts = files.select(
         "bundle", adapter.alias("adapter"),
         root.alias("root"), F.when(F.col("is_link"), 0).otherwise(F.col("length")).alias("bytes"), ext.isin(FORBIDDEN).alias("forbidden"),
         (inside & (name == ADAPTER_CONFIG)).alias("config"), (inside & (ext == WEIGHTS)).alias("weights"),
-        (yaml & F.contains(content, F.lit("..")) & F.contains(content, F.lit("!include"))).alias("climbs"), F.when(yaml, model).alias("model"),
+        (unreadable | (yaml & F.contains(content, F.lit("..")) & F.contains(content, F.lit("!include")))).alias("climbs"), model.alias("model"),
         F.col("is_link").alias("link"), F.when(inside & (name == ADAPTER_CONFIG), F.when(rank.rlike(r"^\d+$"), rank.cast("decimal(38,0)"))).alias("rank"), bad_limits.alias("bad_limits"),
     )
     each = parts.groupBy("bundle", "adapter").agg(

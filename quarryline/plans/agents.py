@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions import stats
-from quarryline.operators import diffs, evaluation, folds, inspection, trajectories
+from quarryline.operators import configs, diffs, evaluation, folds, inspection, trajectories
 from quarryline.plans.dialect import SPARK
 from quarryline.plans.tasks import RESULTS
 from quarryline.plans.texts import patches
@@ -140,7 +140,7 @@ def insp_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILES = """
     SELECT bundle, path, length, is_link, CASE path WHEN 'agent.yaml' THEN 'model: m' || CAST(bundle % 3 AS STRING) || chr(10) || CASE bundle % 5 WHEN 0 THEN '' ELSE 'generate_content_config:' || chr(10) ||
                '  max_output_tokens: ' || CAST(32766 + bundle % 4 AS STRING) || chr(10) || '  thinking_config:' || chr(10) || '    thinking_budget: ' || CAST(16384 + bundle % 7 - 5 AS STRING) || chr(10) END
-           WHEN 'sub/conf.yml' THEN 'model: m' || CAST(bundle % 2 AS STRING) || chr(10) || CASE WHEN bundle % 13 = 0 THEN 'a: !include ../x' || chr(10) ELSE '' END
+           WHEN 'sub/conf.yml' THEN 'model: m' || CAST(bundle % 2 AS STRING) || chr(10) || CASE WHEN bundle % 13 = 0 THEN 'a: !include ../x' || chr(10) WHEN bundle % 13 = 5 THEN 'key: [unclosed list' || chr(10) WHEN bundle % 13 = 7 THEN 'tools: [grep, odd_tool]' || chr(10) || 'sub: {config_path: ../agent.yaml}' || chr(10) ELSE '' END
            WHEN 'adapters/a1/adapter_config.json' THEN '{"r": ' || CAST(124 + bundle % 6 AS STRING) || '}' WHEN 'adapters/a2/adapter_config.json' THEN '{"lora_rank": ' || CAST(120 + bundle % 11 AS STRING) || '}' END AS content
     FROM (SELECT CAST(floor(p_partkey / 10.0D) AS BIGINT) AS bundle, p_size * 15000000 AS length, p_partkey % 97 = 0 AS is_link, CASE p_partkey % 10 WHEN 0 THEN CASE WHEN p_partkey % 190 = 0 THEN 'agent.md' ELSE 'agent.yaml' END
               WHEN 1 THEN 'adapters/a1/adapter_config.json' WHEN 2 THEN 'adapters/a1/w.safetensors' WHEN 3 THEN 'adapters/a2/adapter_config.json' WHEN 4 THEN CASE WHEN p_partkey % 3 = 0 THEN 'adapters/a2/x.BIN' ELSE 'adapters/a2/w.safetensors' END
@@ -151,6 +151,12 @@ def bundle_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection.bundle_checks(sql(spark, sf_dir, FILES))
 
 
+def bundle_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many findings of each kind the bundles have."""
+    found = configs.bundle_findings(sql(spark, sf_dir, FILES), ["grep"])
+    return found.groupBy("bundle", "severity", "check").agg(F.count("*").alias("n"))
+
+
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = f"WITH {RESULTS} SELECT id AS ord, id, repo, fold, resolved, tier AS complexity, tokens, tools AS num_tool_calls, truncated AS had_truncation FROM results"
     return sql(spark, sf_dir, text)
@@ -253,7 +259,7 @@ def win_nearest_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        val_findings, reward_scores, pair_texts, rollout_parts, train_records, insp_notebooks, insp_findings, bundle_report, cv_folds, cv_report, cv_per_repo, cv_subset, cv_fold_tiers,
+        val_findings, reward_scores, pair_texts, rollout_parts, train_records, insp_notebooks, insp_findings, bundle_report, bundle_findings, cv_folds, cv_report, cv_per_repo, cv_subset, cv_fold_tiers,
         cv_verified, cmp_folds, cmp_decision, win_early_stop, win_nudges, win_compaction, win_nearest_median,
     )
 }
@@ -344,13 +350,22 @@ ORACLE = {
              a AS (SELECT bundle, adapter, bool_or(path = 'adapters/' || adapter || '/adapter_config.json') AND bool_or(ext = '.safetensors') AS whole FROM x WHERE adapter <> '' GROUP BY ALL),
              b AS (SELECT bundle, bool_and(whole) AS whole, count(*) AS n FROM a GROUP BY bundle),
              s AS (SELECT bundle, bool_or(path = 'agent.yaml') AS root, sum(CASE WHEN is_link THEN 0 ELSE length END) <= 3221225472 AS fits, bool_or(ext IN ('.bin', '.pt', '.pth', '.pkl', '.pickle')) AS forbidden,
-                          bool_or(contains(content, '!include ../')) AS climbs, count(DISTINCT split_part(split_part(CASE WHEN ext IN ('.yaml', '.yml') THEN content END, chr(10), 1), 'model: ', 2)) AS models, bool_or(is_link) AS links,
+                          bool_or(contains(content, '!include ../') OR contains(content, '[unclosed')) AS climbs, count(DISTINCT split_part(split_part(CASE WHEN ext IN ('.yaml', '.yml') AND NOT contains(content, '[unclosed') THEN content END, chr(10), 1), 'model: ', 2)) AS models, bool_or(is_link) AS links,
                           max(CASE WHEN path LIKE '%a1/adapter_config.json' THEN 124 + bundle % 6 WHEN path LIKE '%a2/adapter_config.json' THEN 120 + bundle % 11 ELSE 0 END) AS rank,
                           bool_or(path = 'agent.yaml' AND bundle % 5 <> 0 AND (32766 + bundle % 4 > 32768 OR bundle % 7 - 5 > 0)) AS over FROM x GROUP BY bundle),
              j AS (SELECT s.*, coalesce(whole, TRUE) AS whole, coalesce(n, 0) AS n FROM s LEFT JOIN b ON s.bundle = b.bundle)
         SELECT bundle, 'root_config' AS name, root AS passed FROM j UNION ALL SELECT bundle, 'total_size', fits FROM j UNION ALL SELECT bundle, 'extensions', NOT forbidden FROM j UNION ALL SELECT bundle, 'adapters', whole FROM j
         UNION ALL SELECT bundle, 'yaml_schema', NOT coalesce(climbs, FALSE) FROM j UNION ALL SELECT bundle, 'single_model', models = 1 FROM j UNION ALL SELECT bundle, 'no_symlinks', NOT links FROM j
         UNION ALL SELECT bundle, 'adapter_count', n <= 8 FROM j UNION ALL SELECT bundle, 'lora_rank', rank <= 128 FROM j UNION ALL SELECT bundle, 'token_limits', root AND NOT over FROM j""",
+    "bundle_findings": f"""
+        WITH f AS ({FILES.replace('10.0D', '10.0')}), x AS (SELECT *, {_SUFFIX} AS ext, contains(content, '[unclosed') AS broken FROM f),
+             b AS (SELECT bundle, count(*) FILTER (path = 'agent.yaml') AS roots, count(*) FILTER (ext IN ('.yaml', '.yml') AND NOT broken) AS readable, sum(length) AS bytes,
+                          count(DISTINCT CASE WHEN ext IN ('.yaml', '.yml') AND NOT broken THEN split_part(content, chr(10), 1) END) AS models FROM x GROUP BY bundle),
+             e AS (SELECT bundle, 'error' AS severity, 'YAML parses' AS "check" FROM x WHERE broken UNION ALL SELECT bundle, 'error', 'allowed file types' FROM x WHERE ext NOT IN ('.yaml', '.yml', '.md', '.txt', '.py', '.json', '.safetensors')
+                   UNION ALL SELECT bundle, 'warning', 'no hidden / cache files' FROM x WHERE path LIKE '%/.cache/%' UNION ALL SELECT bundle, 'error', 'exactly one root config' FROM b WHERE roots <> 1
+                   UNION ALL SELECT bundle, 'error', 'YAML files parse' FROM b WHERE readable = 0 UNION ALL SELECT bundle, 'error', 'single base model' FROM b WHERE models <> 1 UNION ALL SELECT bundle, 'error', 'size limit' FROM b WHERE bytes > 3221225472
+                   UNION ALL SELECT bundle, 'error', 'references resolve inside the bundle' FROM b WHERE bundle % 13 = 0 OR bundle % 13 = 7 AND roots = 0 UNION ALL SELECT bundle, 'warning', 'only verified tools referenced' FROM b WHERE bundle % 13 = 7)
+        SELECT bundle, severity, "check", count(*) AS n FROM e GROUP BY ALL""",
     "cv_folds": f"""
         WITH {RESULTS} SELECT fold, arg_min(repo, id) AS val_repo, count(*) AS total, count(*) FILTER (resolved) AS n_resolved, round(count(*) FILTER (resolved) / count(*), 9) AS resolution_rate, round(avg(tools), 9) AS avg_tool_calls,
                round(avg(tokens), 9) AS avg_tokens, round(count(*) FILTER (truncated) / count(*), 9) AS truncation_rate, count(*) FILTER (tier = 'SIMPLE') AS n_simple, count(*) FILTER (tier = 'MODERATE') AS n_moderate,

@@ -130,21 +130,25 @@ def parsed(value: str) -> bool | int | float | str:
     return value
 
 
-def loaded(text: str) -> object:
-    """The value of a YAML text (JSON is YAML); tags that are not known stand for their value's text."""
+def loaded(text: str, tags: dict[str, type] | None = None) -> object:
+    """The value of a YAML text (JSON is YAML). Tags that are not known stand for their value's text; if tags are given, only they do, made by
+    their types, and others make the text unreadable."""
     try:
         import yaml
     except ImportError:  # without the library only JSON is read
         return json.loads(text or "null")
 
-    class Tolerant(yaml.SafeLoader):
+    class Reader(yaml.SafeLoader):
         pass
 
     def plain(loader: yaml.Loader, _: str, node: yaml.Node) -> object:
         return loader.construct_scalar(node) if isinstance(node, yaml.ScalarNode) else loader.construct_sequence(node) if isinstance(node, yaml.SequenceNode) else loader.construct_mapping(node)
 
-    Tolerant.add_multi_constructor("!", plain)
-    return yaml.load(text, Tolerant)  # noqa: S506  a safe loader
+    if tags is None:
+        Reader.add_multi_constructor("!", plain)
+    for tag, kind in (tags or {}).items():
+        Reader.add_constructor(tag, lambda loader, node, kind=kind: kind(loader.construct_scalar(node) if isinstance(node, yaml.ScalarNode) else node.value))
+    return yaml.load(text, Reader)  # noqa: S506  a safe loader
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -239,7 +243,7 @@ def mock_graph(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
 def described_tasks(spark: SparkSession, path: str) -> DataFrame:
     """Tasks of any JSON lines: missing fields empty, the repository from the id where it is missing, created_ts where the time can be read."""
     rows = tasks(spark, path)
-    own = F.replace(F.regexp_extract("instance_id", r"^(.*?)-\d+$", 1), F.lit("__"), F.lit("/"))
+    own = F.regexp_replace("instance_id", "_[^_]*$", "")  # what stands before the last underscore
     return rows.withColumns({"repo": F.when(F.col("repo") == "", own).otherwise(F.col("repo")), "created_ts": F.try_to_timestamp("created_at")})
 
 

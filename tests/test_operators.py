@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarryline.functions import stats, text
-from quarryline.operators import diffs, evaluation, folds, inspection, retrieval, trajectories
+from quarryline.operators import configs, diffs, evaluation, folds, inspection, retrieval, trajectories
 from quarryline.plans import agents, catalogue
 from quarryline.sources import readers, sinks
 from quarryline.streaming import telemetry
@@ -227,9 +227,9 @@ def test_more_sources(spark, tmp_path):
     assert tasks.select("repo").distinct().count() == 4 and tasks.select(diffs.changed_lines(F.col("patch")).alias("n")).first().n == 2
     nodes, edges, vectors = readers.mock_graph(spark)
     assert nodes.first().name == "add_numbers" and edges.count() == 0 and len(vectors.first().vec) == 256
-    (tmp_path / "t.jsonl").write_text('{"instance_id": "own__repo-12", "created_at": "2024-05-06T01:02:03Z"}\n{"instance_id": "x", "created_at": "soon"}\n')
+    (tmp_path / "t.jsonl").write_text('{"instance_id": "fast_api_12", "created_at": "2024-05-06T01:02:03Z"}\n{"instance_id": "x", "created_at": "soon"}\n')
     described = readers.described_tasks(spark, f"{tmp_path}/t.jsonl").collect()
-    assert [(r.repo, r.created_ts is None) for r in described] == [("own/repo", False), ("", True)]
+    assert [(r.repo, r.created_ts is None) for r in described] == [("fast_api", False), ("x", True)]
     (tmp_path / "f.csv").write_text("name,size\na.py,3\n")
     assert tuple(readers.listing(spark, f"{tmp_path}/f.csv").first()) == ("a.py", 3)
     for name, content in (("d/a.py", b"x"), ("d/b.PY", b"yy"), ("d/e/c.py", b"zzz"), ("d/e/f/g.py", b"far"), ("d/t.md", b"caf\xc3\xa9")):
@@ -313,3 +313,25 @@ def test_streams_of_several_batches(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(catalogue.QUERIES.keys() - catalogue.ORACLE.keys()))
 def test_queries_without_sql_run(spark, name):
     assert catalogue.QUERIES[name](spark, SF).count() > 0
+
+
+def test_yaml_that_cannot_be_read_fails(spark):
+    files = [
+        ("a", "agent.yaml", "model: m\ngenerate_content_config:\n  max_output_tokens: 100\n"), ("b", "agent.yaml", "model: m\nkey: [unclosed list"), ("c", "agent.yaml", "model: m\ngenerate_content_config: 3\n"),
+        ("d", "agent.yaml", "model: m\n"), ("d", "sub/x.yml", "key: [unclosed list"), ("e", "agent.yaml", "{model: m, generate_content_config: {max_output_tokens: 32768, thinking_config: {thinking_budget: 16385}}}"), ("f", "agent.yaml", "x: !other y"),
+    ]
+    rows = spark.createDataFrame([(b, p, 5, False, c) for b, p, c in files], "bundle string, path string, length long, is_link boolean, content string")
+    failed = {(r.bundle, r.name) for r in inspection.bundle_checks(rows).where("not passed").collect()}
+    assert failed == {("b", "yaml_schema"), ("b", "token_limits"), ("b", "single_model"), ("c", "token_limits"), ("d", "yaml_schema"), ("e", "token_limits"), ("f", "yaml_schema"), ("f", "token_limits"), ("f", "single_model")}
+
+
+def test_findings_on_bundles_by_severity(spark):
+    good = [("g", "agent.yaml", 9, "model: m\ntools: [grep]\nprompt: !include prompts/a.md\nsub:\n  - config_path: sub/x.yml\n"), ("g", "sub/x.yml", 9, "model: m"), ("g", "prompts/a.md", 9, "short"), ("g", "adapters/a/w.safetensors", 9, None), ("g", "adapters/a/adapter_config.json", 9, "{}")]
+    bad = [("b", "agent.yaml", 9, "model: m\ntools: [odd]\nprompt: !include ../out.md\n"), ("b", "agent.yml", 9, "model: n"), ("b", "p.md", 9, "x" * 20_000), ("b", ".git/x.py", 9, None), ("b", "w.safetensors", 4 << 30, None), ("b", "x.exe", 1, None), ("b", "y.yaml", 1, "a: b: c")]
+    rows = spark.createDataFrame(good + bad, "bundle string, path string, length long, content string")
+    got = {(r.bundle, r.severity, r["check"], r.detail.split(": ")[0]) for r in configs.bundle_findings(rows, ["grep"]).collect()}
+    assert got == {
+        ("b", "error", "YAML parses", "y.yaml"), ("b", "error", "allowed file types", "x.exe"), ("b", "warning", "no hidden / cache files", ".git/x.py"), ("b", "error", "exactly one root config", "2"), ("b", "error", "single base model", "2"),
+        ("b", "error", "size limit", str((4 << 30) + 38)), ("b", "warning", "prompt size vs context", "5000"), ("b", "error", "references resolve inside the bundle", "agent.yaml → ../out.md"), ("b", "warning", "only verified tools referenced", "odd"),
+        ("b", "warning", "adapter config next to weights", "w.safetensors"),
+    }
