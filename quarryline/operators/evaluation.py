@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.functions.text import stripped
+
 TIERS = ["SIMPLE", "MODERATE", "COMPLEX"]
 
 # Recommendations in the order that they are given, and the keys under which a reward may stand.
@@ -30,7 +32,7 @@ def budgeted(results: DataFrame, most_calls: int = 100, most_seconds: float = 36
 
 def verified(results: DataFrame) -> DataFrame:
     """resolved and error of results (patch, exit_code, passed, failed, errors; without counts the exit code decides)."""
-    empty = F.coalesce(F.trim("patch"), F.lit("")) == ""
+    empty = stripped(F.coalesce("patch", F.lit(""))) == ""
     ok = F.col("exit_code") == 0
     known = F.col("passed").isNotNull()
     resolved = ~empty & ok & F.when(known, (F.col("passed") > 0) & (F.coalesce("failed", F.lit(0)) == 0) & (F.coalesce("errors", F.lit(0)) == 0)).otherwise(True)

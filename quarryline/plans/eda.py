@@ -18,7 +18,7 @@ def true_patches(d) -> str:
     line = "CASE l_returnflag WHEN 'A' THEN '+' WHEN 'R' THEN '-' ELSE ' ' END || CASE WHEN l_linenumber % 2 = 0 THEN 'def f_' || CAST(l_partkey AS STRING) || '():' ELSE 'x' END"
     body = d.agg(line, "chr(10)", "l_linenumber, l_partkey, l_suppkey, l_extendedprice")
     return f"""
-    files AS (SELECT l_orderkey AS id, CASE WHEN CAST(substr(p_brand, 7, 2) AS INT) % 4 = 0 THEN 'tests/' ELSE 'src/' END || p_brand || '.py' AS path, (l_orderkey + CAST(substr(p_brand, 7, 2) AS INT)) % 5 AS st,
+    files AS (SELECT l_orderkey AS id, CASE WHEN CAST(substr(p_brand, 7, 2) AS INT) % 4 = 0 THEN 'tests/' WHEN CAST(substr(p_brand, 7, 2) AS INT) % 6 = 1 THEN 'src/debug_' ELSE 'src/' END || p_brand || '.py' AS path, (l_orderkey + CAST(substr(p_brand, 7, 2) AS INT)) % 5 AS st,
                      sum(CASE WHEN l_returnflag <> 'A' THEN 1 ELSE 0 END) AS n_old, sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) + CASE WHEN l_orderkey % 10 = 0 THEN 1 ELSE 0 END AS n_new, {body} AS body
               FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, p_brand),
     blocks AS (SELECT id, path, 'diff --git a/' || path || ' b/' || path || chr(10) || '--- ' || CASE WHEN st = 0 THEN '/dev/null' ELSE 'a/' || path END || chr(10) || '+++ ' || CASE WHEN st = 1 THEN '/dev/null' ELSE 'b/' || path END || chr(10)
@@ -41,8 +41,10 @@ def diff_hunk_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patch_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each kind of finding occurs: the message up to its colon."""
-    rows = diffs.findings(counted(spark, sf_dir), F.lit("p"), 6).select(F.explode("findings").alias("f"))
+    """How often each kind of finding occurs: the message up to its colon. Every seventeenth patch is blank."""
+    patches = sql(spark, sf_dir, f"WITH {true_patches(SPARK)} SELECT id, CASE WHEN id % 17 = 0 THEN ' ' || chr(10) ELSE patch END AS patch FROM patches")
+    parsed = diffs.parse_counted(patches, "id", "patch").join(patches, "id")
+    rows = diffs.findings(parsed, F.col("patch"), 6).select(F.explode("findings").alias("f"))
     kind = F.regexp_replace(F.substring_index("f.message", ":", 1), r"\(\d+ changed lines\)", "(n changed lines)")
     return rows.groupBy("f.severity", kind.alias("kind")).agg(F.count("*").alias("n"))
 
@@ -166,8 +168,8 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of users: runs of events less than a day apart."""
-    return telemetry.sessions(table(spark, sf_dir, "events"), "1 day")
+    """Sessions of users, read as a stream: runs of events less than a day apart that the watermark has passed."""
+    return telemetry.drained(telemetry.sessions(telemetry.read_events(spark, f"{sf_dir}/events*.parquet"), "1 day"), "append")
 
 
 WORDS = [*inspection.LEAK_WORDS, "nav", "footer", "http"]
@@ -217,7 +219,7 @@ QUERIES = {
 }
 
 _BRAND = "CAST(substr(p_brand, 7, 2) AS INT)"
-_FILE_ROWS = f"""f AS (SELECT l_orderkey AS id, CASE WHEN {_BRAND} % 4 = 0 THEN 'tests/' ELSE 'src/' END || p_brand || '.py' AS path, (l_orderkey + {_BRAND}) % 5 AS st,
+_FILE_ROWS = f"""f AS (SELECT l_orderkey AS id, CASE WHEN {_BRAND} % 4 = 0 THEN 'tests/' WHEN {_BRAND} % 6 = 1 THEN 'src/debug_' ELSE 'src/' END || p_brand || '.py' AS path, (l_orderkey + {_BRAND}) % 5 AS st,
     count(*) FILTER (l_returnflag = 'A') AS added, count(*) FILTER (l_returnflag = 'R') AS deleted FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, p_brand)"""
 _WORD = lambda w: f"regexp_matches(low, '(^|[^a-z0-9_/]){w}($|[^a-z0-9_])')"
 _ANY = lambda words: "(" + " OR ".join(_WORD(w.replace(".", "[.]")) for w in words if len(w) >= 3) + ")"
@@ -230,8 +232,8 @@ ORACLE = {
                bool_or(st = 0) AS adds_new_file, f.id % 10 <> 0 AS patch_ok FROM f LEFT JOIN s ON f.id = s.id GROUP BY f.id""",
     "diff_hunk_counting": f"WITH {_FILE_ROWS} SELECT id, path, added, deleted, 1 AS hunks, CASE st WHEN 0 THEN 'added' WHEN 1 THEN 'deleted' ELSE 'modified' END AS status FROM f",
     "patch_findings": f"""
-        WITH {_FILE_ROWS}, c AS (SELECT id, sum(added + deleted) AS churn FROM f GROUP BY id),
-             x AS (SELECT 'error' AS severity, 'hunk line counts do not match the @@ headers (corrupted diff)' AS kind FROM c WHERE id % 10 = 0 UNION ALL SELECT 'warn', 'modifies a test file' FROM f WHERE path LIKE 'tests/%'
+        WITH {_FILE_ROWS}, g AS (SELECT * FROM f WHERE id % 17 <> 0), c AS (SELECT id, sum(added + deleted) AS churn FROM g GROUP BY id),
+             x AS (SELECT DISTINCT ON (id) 'error' AS severity, 'empty patch' AS kind FROM f WHERE id % 17 = 0 UNION ALL SELECT 'error', 'looks like a leftover scratch file' FROM g WHERE st = 0 AND path LIKE 'src/debug%' UNION ALL SELECT 'error' AS severity, 'hunk line counts do not match the @@ headers (corrupted diff)' AS kind FROM c WHERE id % 10 = 0 UNION ALL SELECT 'warn', 'modifies a test file' FROM g WHERE path LIKE 'tests/%'
                    UNION ALL SELECT 'warn', 'very large patch (n changed lines)' FROM c WHERE churn > 6) SELECT severity, kind, count(*) AS n FROM x GROUP BY ALL""",
     "diff_old_files": f"WITH {_FILE_ROWS} SELECT id, path FROM f WHERE st <> 0",
     "diff_new_tests": "SELECT p_partkey AS id, 'test_' || replace(p_name, ' ', '_') || ',test_b' || p_size AS tests FROM part",
@@ -277,7 +279,7 @@ ORACLE = {
     "stream_sessions": """
         WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 1 DAY THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
              s AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
-        SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 1 DAY AS "end", count(*) AS n FROM s GROUP BY user_id, k""",
+        SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 1 DAY AS "end", count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
 }
 ORACLE |= {
     "rgx_keywords": r"""

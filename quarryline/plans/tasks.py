@@ -138,9 +138,9 @@ QUERIES = {
              slopes AS (SELECT (SELECT regr_slope(cv, -back) FROM last5) AS c, (SELECT regr_slope(lb, k) FROM lbs) AS l, (SELECT count(*) FROM lbs) AS n)
         SELECT round(c, 9) AS cv_slope, round(l, 9) AS lb_slope,
                CASE WHEN n < 2 THEN 'NONE' WHEN c > 0 AND l <= 0 THEN 'STRONG' WHEN c > 0 AND l > 0 AND c > 2 * l THEN 'MODERATE' ELSE 'NONE' END AS overfitting FROM slopes""",
-    "win_gap_alert": lambda d: f"""
-        SELECT day, round(abs(cv - lb), 9) AS gap FROM (SELECT {d.day("ts")} AS day, avg(CASE WHEN event_type = 'click' THEN 1.0D ELSE 0.0D END) AS cv,
-               avg(CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 1.0D ELSE 0.0D END) AS lb FROM events GROUP BY 1) a WHERE abs(cv - lb) > 0.15D""",
+    "win_gap_alert": lambda d: """
+        SELECT hour, round(abs(cv - lb), 9) AS gap FROM (SELECT substr(CAST(ts AS STRING), 1, 13) AS hour, avg(CASE WHEN user_id % 2 = 0 THEN CASE WHEN event_type = 'click' THEN 1.0D ELSE 0.0D END END) AS cv,
+               avg(CASE WHEN user_id % 2 = 1 THEN CASE WHEN event_type = 'click' THEN 1.0D ELSE 0.0D END END) AS lb FROM events GROUP BY 1) a WHERE abs(cv - lb) > 0.15D""",
     # WIN-04, SRT-01: rank by reward, stable
     "win_rank": lambda d: """
         SELECT l_orderkey, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS k FROM lineitem""",
