@@ -111,8 +111,7 @@ def train_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = task_rows(spark, sf_dir)
     by_repo = folds.modulo_folds(sql(spark, sf_dir, "SELECT c_mktsegment AS repo FROM customer"), "repo", 4)
     rows = trajectories.training_records(tasks, by_repo)
-    opened = F.startswith("formatted_text", F.lit("<bos><|turn>user\nYou are evaluating"))
-    return rows.select("instance_id", "repo", "complexity", "strategy", F.size("messages").cast("long").alias("n_messages"), opened.alias("opened"), F.col("num_tool_calls").cast("long").alias("n_calls"), F.col("num_files_changed").cast("long").alias("n_files"), "fold")
+    return rows.select("instance_id", "repo", "complexity", "strategy", F.size("messages").cast("long").alias("n_messages"), F.sha2("formatted_text", 256).alias("text_sha"), F.col("num_tool_calls").cast("long").alias("n_calls"), F.col("num_files_changed").cast("long").alias("n_files"), "fold")
 
 
 #: Notebooks of five code cells: documents with lines that the scans look for.
@@ -287,6 +286,54 @@ _PEERS = f"{RESULTS}, sides AS (SELECT id % 2 AS side, fold, arg_min(repo, id) A
 _COMPARED = "compared AS (SELECT a.val_repo, arg_max(a.r, a.fold) AS peer, arg_max(b.r, a.fold) AS baseline FROM sides a JOIN sides b ON a.fold = b.fold AND a.side = 0 AND b.side = 1 GROUP BY a.val_repo)"
 _SUFFIX = "regexp_extract(lower(regexp_extract(path, '[^/]*$')), '[^.]([.][^.]*)$', 1)"
 
+_BLOCK = lambda role, content: f"'<|turn>{role}' || chr(10) || {content} || chr(10) || '<turn|>'"
+_THINK = lambda text: f"'<|channel>thought' || chr(10) || {text} || chr(10) || '<channel|>' || chr(10)"
+_CALL = lambda name, args: f"chr(10) || '<|tool_call>' || chr(10) || '{{\"tool_name\": \"{name}\", \"args\": {{' || {args} || '}}}}' || chr(10) || '<tool_call|>'"
+_SAID = lambda thought, text, name, args: _BLOCK("model", _THINK(thought) + f" || {text} || " + _CALL(name, args))
+_TOLD = lambda result: _BLOCK("user", result)
+
+
+def _chats() -> str:
+    """DuckDB SQL of all chats: a file has one hunk that begins at line 1, no line defines a symbol, and statements hold no quotes."""
+    first = _BLOCK("user", "'You are evaluating a software engineering task for repository ' || repo || '.' || chr(10) || chr(10) || 'Problem Statement:' || chr(10) || 'The parser fails on order ' || id || chr(10) || chr(10) || '## Hints:' || chr(10) || chr(10) || chr(10) || $rules$" + trajectories.TASK_RULES.strip() + "$rules$")
+    search = _SAID("'The problem mentions parser, fails, order. Searching for add_numbers.'", "'Let me search for the relevant code in the repository.'", "search_similar_code", """'"query": "add_numbers", "k": 5'""")
+    found = _TOLD("""'{"status": "ok", "query": "add_numbers", "results": [{"node_name": "add_numbers", "filepath": "utils.py", "score": 0.95}], "count": 1}'""")
+    near = _SAID("'Found add_numbers. Examining code neighbors.'", "'Examining the call graph for this function.'", "get_code_neighbors", """'"node": "add_numbers"'""")
+    edges = _TOLD("""'{"status": "ok", "node": "add_numbers", "neighbors": [{"source": "add_numbers", "target": "add_numbers_caller", "type": "calls"}], "count": 1}'""")
+    read = lambda by: _SAID("'Reading ' || path || ' around line 1.'", "'Reading `' || path || '`.'", "read_file", f"""'"filepath": "' || path || '", "start_line": 1, "end_line": ' || (31 + n + {by})""")
+    shown = _TOLD("""'{"status": "ok", "filepath": "' || path || '", "start_line": 1, "end_line": ' || (31 + n) || ', "content": "# Content for ' || path || ' lines 1-' || (31 + n) || '"}'""")
+    edit = _SAID("'Fixing ' || path || ' at line 1.'", "'Applying patch to `' || path || '`.'", "edit_file", """'"filepath": "' || path || '", "old_string": "' || coalesce(old, '') || '", "new_string": "' || coalesce(new, '') || '"'""")
+    edited = _TOLD("""'{"status": "ok", "filepath": "' || path || '", "occurrences": 1, "strategy": "exact"}'""")
+    cause = _BLOCK("model", _THINK("'Root cause identified. Preparing patch modifications.'") + " || 'Root cause identified. Proceeding to fix.'")
+    tests = _SAID("'Running test suite to verify the applied fix.'", "'Running verification tests.'", "run_command", """'"command": "python -m pytest -q"'""")
+    passed = _TOLD("""'{"status": "ok", "returncode": 0, "output": "1 passed in 0.05s"}'""")
+    submit = _SAID("'All verification tests pass. Submitting completed patch.'", "'All tests passed. Submitting patch.'", "submit_patch", "''")
+    sent = _TOLD("""'{"status": "ok", "message": "Patch submitted successfully."}'""")
+    alone = lambda thought, name, args: _BLOCK("model", f"'<|channel>thought' || chr(10) || {thought} || chr(10) || '<channel|>' || " + _CALL(name, args))
+    grep, hit = _SAID("'The problem mentions parser, fails, order. Searching for add_numbers.'", "'Let me search for the relevant code in the repository.'", "run_command", """'"command": "grep -rn ''add_numbers'' ."'"""), _TOLD("""'{"status": "ok", "returncode": 0, "output": "src/utils.py:10: def foo():"}'""")
+    failed = ", ".join([alone("'Attempting to apply patch.'", "edit_file", r"""'"filepath": "' || paths[1] || '", "old_string": "INVALID_OLD_STRING_FOR_ERROR_RECOVERY\n", "new_string": ""'"""), _TOLD("""'{"status": "error", "message": "old_string not found"}'"""), _BLOCK("model", _THINK("'The edit failed. Re-reading context and correcting edit pattern.'") + " || 'Correcting the patch.'")])
+    ran = _TOLD("""'{"status": "ok", "returncode": 0, "output": ""}'""")
+    scratch = ", ".join([alone("'Writing reproduction script to verify the issue.'", "write_file", r"""'"filepath": "/tmp/repro.py", "content": "# Reproduction script\nassert True\n"'"""), _TOLD("""'{"status": "ok", "bytes_written": 32}'"""), alone("'Executing reproduction script.'", "run_command", """'"command": "python /tmp/repro.py"'"""), ran, alone("'Cleaning up temporary reproduction files.'", "run_command", """'"command": "rm -f /tmp/repro.py"'"""), ran])
+    status = alone("'Checking current execution budget.'", "get_status", "''") + ", " + _TOLD("""'{"status": "ok", "remaining_time_min": 45.0, "tool_calls_remaining": 85}'""")
+    lines = lambda flag: f"string_agg('line_' || l_linenumber || '_' || l_partkey, '{chr(92)}n' ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) FILTER (l_returnflag <> '{flag}')"
+    return f"""
+        f AS (SELECT l_orderkey AS id, p_brand || '.py' AS path, count(*) AS n, count(*) FILTER (l_returnflag <> 'A') AS n_old, count(*) FILTER (l_returnflag <> 'N') AS changed, {lines("A")} AS old, {lines("R")} AS new FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey, p_brand),
+        b AS (SELECT id, path, n, n_old, changed, {read(0)} AS seen, {read(10)} AS wide, {shown} AS shown, {edit} AS made, {edited} AS edited FROM f),
+        t AS (SELECT id, count(*) AS files, sum(changed) AS lines, bool_and(n_old > 0) AS good, list(path ORDER BY path) AS paths, flatten(list([seen, shown] ORDER BY path)) AS reads, flatten(list([wide, shown] ORDER BY path)) AS wide, flatten(list([made, edited] ORDER BY path)) AS edits FROM b GROUP BY id),
+        folds AS (SELECT repo, (row_number() OVER (ORDER BY repo) - 1) % 4 AS fold FROM (SELECT DISTINCT c_mktsegment AS repo FROM customer) a),
+        names AS (SELECT unnest(['swap_navigation', 'failed_edit', 'wider_reads', 'grep_first', 'scratch_block', 'budget_checks']) AS strategy),
+        picked AS (SELECT id, strategy, row_number() OVER (PARTITION BY id ORDER BY md5('42:' || id || ':' || strategy), strategy) AS k FROM t CROSS JOIN names),
+        every AS (SELECT id, NULL AS strategy FROM t UNION ALL SELECT id, strategy FROM picked WHERE k <= 3),
+        tasks AS (SELECT t.*, strategy, c_mktsegment AS repo, CAST(t.id AS VARCHAR) AS instance_id, CASE WHEN files <= 1 AND lines < 20 THEN 'SIMPLE' WHEN files <= 3 AND lines <= 100 THEN 'MODERATE' ELSE 'COMPLEX' END AS complexity
+                  FROM every JOIN t ON every.id = t.id JOIN orders ON o_orderkey = t.id JOIN customer ON c_custkey = o_custkey),
+        whole AS (SELECT *, list_concat([{first}], CASE strategy WHEN 'swap_navigation' THEN [{near}, {edges}, {search}, {found}] WHEN 'grep_first' THEN [{grep}, {hit}, {near}, {edges}] ELSE [{search}, {found}, {near}, {edges}] END,
+                                           CASE strategy WHEN 'wider_reads' THEN wide ELSE reads END, [{cause}], CASE strategy WHEN 'failed_edit' THEN [{failed}] ELSE [] END, edits, [{tests}, {passed}, {submit}, {sent}]) AS plain FROM tasks),
+        chats AS (SELECT *, CASE strategy WHEN 'scratch_block' THEN list_concat(plain[:2], [{scratch}], plain[3:])
+                                          WHEN 'budget_checks' THEN list_concat(plain[:len(plain) // 3], [{status}], plain[len(plain) // 3 + 1:2 * len(plain) // 3], [{status}], plain[2 * len(plain) // 3 + 1:]) ELSE plain END AS blocks FROM whole)"""
+
+
+_CHATS = _chats()
+
 ORACLE = {
     "val_findings": f"""
         WITH c AS ({CALLS}), m AS ({META}),
@@ -318,17 +365,10 @@ ORACLE = {
                CASE r % 4 WHEN 0 THEN 'Patch submitted.' WHEN 1 THEN 'Command executed successfully with return code 0.' WHEN 3 THEN 'Tool executed: grep' END AS told,
                CASE WHEN r % 4 = 0 THEN 'P' || r WHEN r % 3 = 0 THEN 'T' || r WHEN r % 3 = 1 THEN 'diff --git a/x b/x' || chr(10) || '+' || r END AS patch,
                greatest(1, (length(raw) + extra) // 4) AS token_count, CASE WHEN r % 4 = 2 THEN 0 ELSE 1 END AS n_calls, CASE WHEN r % 4 = 0 OR r % 3 < 2 THEN 1 ELSE 0 END AS n_files FROM r CROSS JOIN g""",
-    "train_records": """
-        WITH f AS (SELECT l_orderkey AS id, p_brand, count(*) FILTER (l_returnflag <> 'A') AS n_old, count(*) FILTER (l_returnflag <> 'N') AS changed FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
-             t AS (SELECT id, count(*) AS files, sum(changed) AS lines, bool_and(n_old > 0) AS good FROM f GROUP BY id),
-             folds AS (SELECT repo, (row_number() OVER (ORDER BY repo) - 1) % 4 AS fold FROM (SELECT DISTINCT c_mktsegment AS repo FROM customer) a),
-             names AS (SELECT unnest(['swap_navigation', 'failed_edit', 'wider_reads', 'grep_first', 'scratch_block', 'budget_checks']) AS strategy),
-             picked AS (SELECT id, strategy, row_number() OVER (PARTITION BY id ORDER BY md5('42:' || id || ':' || strategy), strategy) AS k FROM t CROSS JOIN names),
-             every AS (SELECT id, NULL AS strategy FROM t UNION ALL SELECT id, strategy FROM picked WHERE k <= 3)
-        SELECT CAST(t.id AS VARCHAR) AS instance_id, c_mktsegment AS repo, CASE WHEN files <= 1 AND lines < 20 THEN 'SIMPLE' WHEN files <= 3 AND lines <= 100 THEN 'MODERATE' ELSE 'COMPLEX' END AS complexity, strategy,
-               10 + 4 * files + CASE strategy WHEN 'failed_edit' THEN 3 WHEN 'scratch_block' THEN 6 WHEN 'budget_checks' THEN 4 ELSE 0 END AS n_messages, TRUE AS opened,
+    "train_records": f"""
+        WITH {_CHATS} SELECT instance_id, repo, complexity, strategy, len(blocks) AS n_messages, sha256('<bos>' || array_to_string(blocks, chr(10)) || chr(10)) AS text_sha,
                4 + 2 * files + CASE strategy WHEN 'failed_edit' THEN 1 WHEN 'scratch_block' THEN 3 WHEN 'budget_checks' THEN 2 ELSE 0 END AS n_calls, files AS n_files, fold
-        FROM every JOIN t ON every.id = t.id JOIN orders ON o_orderkey = t.id JOIN customer ON c_custkey = o_custkey JOIN folds ON folds.repo = c_mktsegment WHERE good""",
+        FROM chats JOIN folds USING (repo) WHERE good""",
     "insp_findings": f'WITH {_CELLS} SELECT "check", finding, count(*) AS n FROM found GROUP BY ALL',
     "insp_notebooks": f"""
         WITH {_CELLS}, n AS (SELECT path, count(*) FILTER ("check" = 'data_leakage') AS n_leaks, count(*) FILTER ("check" = 'overfitting_patterns') AS n_fits,
