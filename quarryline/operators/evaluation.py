@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.text import stripped
+from quarryline.operators.quantiles import exact_quantiles
 
 TIERS = ["SIMPLE", "MODERATE", "COMPLEX"]
 
@@ -108,6 +109,6 @@ def compacted(turns: DataFrame, limit: int = 14336, retain: int = 5) -> DataFram
 
 
 def nearest_to_median(df: DataFrame, value: str, key: str) -> DataFrame:
-    """The row whose value lies next to the exact median, the smallest key of equal ones."""
-    middle = F.broadcast(df.agg(F.median(value).alias("median")))  # one row
+    """The row whose value lies next to the exact median, the smallest key of equal ones; no task holds all values."""
+    middle = F.broadcast(exact_quantiles(df, [], value, [0.5]).select(F.col("quantile").alias("median")))  # one row
     return df.crossJoin(middle).orderBy(F.abs(F.col(value) - F.col("median")), key).limit(1)

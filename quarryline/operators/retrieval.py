@@ -134,19 +134,30 @@ def principal_components(vectors: DataFrame, key: str, column: str, k: int = 2)
     return model.transform(rows).select(key, vector_to_array("y").alias("components"))
 
 
-def sharded(df: DataFrame, order: str, shard: int, shards: int) -> DataFrame:
-    """Every shards-th row in order, from row shard on; rows of equal order stand in any order, but always in the same.
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """df with each row's place in order, from 0 on, as a column name; rows of equal order stand in any order, but always in the same.
 
-    The ranges are stored once with each row's place in its range, so that counting and picking see the same ranges; the rows
+    The ranges are stored once with each row's place in its range, so that counting and reading see the same ranges; the rows
     before a range are the sum of those counts. No task orders all rows, and equal values are spread by a hash of the row.
     """
     names = [f"_{k}" for k in range(3)]
     spread = F.xxhash64(*(F.col(f"`{c}`") if not kind.startswith(("map", "variant")) else F.lit(0) for c, kind in df.dtypes))
     ranged = df.withColumn(names[0], spread).repartitionByRange(order, names[0]).sortWithinPartitions(order, names[0])
-    placed = stored(ranged.withColumns({names[1]: F.spark_partition_id(), names[2]: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "shards")
+    placed = stored(ranged.withColumns({names[1]: F.spark_partition_id(), names[2]: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
     sizes = placed.groupBy(names[1]).agg(F.count("*").alias("n"))
     before = sizes.select(names[1], (F.sum("n").over(Window.orderBy(names[1])) - F.col("n")).alias("before"))  # one row a range
-    return placed.join(F.broadcast(before), names[1]).where(F.pmod(F.col("before") + F.col(names[2]), F.lit(shards)) == shard).select(*(f"`{c}`" for c in df.columns))
+    return placed.join(F.broadcast(before), names[1]).select(*(f"`{c}`" for c in df.columns), (F.col("before") + F.col(names[2])).alias(name))
+
+
+def sharded(df: DataFrame, order: str, shard: int, shards: int) -> DataFrame:
+    """Every shards-th row in order, from row shard on (see numbered)."""
+    rows = numbered(df, order, "_place")
+    return rows.where(F.pmod(F.col("_place"), F.lit(shards)) == shard).drop("_place")
+
+
+def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
+    """Rows of both at the same place in order, until the shorter ends. Their columns have different names."""
+    return numbered(left, left_order, "_place").join(numbered(right, right_order, "_place"), "_place").drop("_place")
 
 
 def ego_graphs(edges: DataFrame, centers: DataFrame, least: int = 8, most: int = 40) -> DataFrame:

@@ -59,7 +59,9 @@ def graphs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def vectors(spark: SparkSession, path: str) -> DataFrame:
-    """(graph_id, node_id, vec) of NPZ files; files that can't be read have none."""
+    """(graph_id, node_id, vec) of NPZ files; files that can't be read have none, and a path that isn't there has no files."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "graph_id string, node_id string, vec array<float>")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
