@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.plans import agents, codebase, eda, frames, surface, tasks, texts
+from quarryline.plans import agents, codebase, eda, frames, roundtrips, surface, tasks, texts
 from quarryline.plans.dialect import DUCK, SPARK, Spark
 from quarryline.session import TABLES, sql
 
@@ -42,8 +42,8 @@ WIDE = {
     "rollout_parts": "gen n_calls n_files", "cv_subset": "fold", "win_early_stop": "since", "task_features": "added deleted churn", "diff_hunk_counting": "hunks", "graph_resolve": "tier",
     "fn_scalars": "number n_items setting", "junit_reports": "skipped",
 }
-BUILT = {name: functools.partial(widened, query) for name, query in (agents.QUERIES | eda.QUERIES | codebase.QUERIES | surface.QUERIES).items()}
-WRITTEN = {name: wide(sql, WIDE[name]) if name in WIDE else sql for name, sql in (agents.ORACLE | eda.ORACLE | codebase.ORACLE | surface.ORACLE).items()}
+BUILT = {name: functools.partial(widened, query) for name, query in (agents.QUERIES | eda.QUERIES | codebase.QUERIES | surface.QUERIES | roundtrips.QUERIES).items()}
+WRITTEN = {name: wide(sql, WIDE[name]) if name in WIDE else sql for name, sql in (agents.ORACLE | eda.ORACLE | codebase.ORACLE | surface.ORACLE | roundtrips.ORACLE).items()}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: functools.partial(run, name) for name in TEXTS} | frames.QUERIES | BUILT
 ORACLE: dict[str, str] = {name: text(name, DUCK) for name in TEXTS} | frames.ORACLE | WRITTEN

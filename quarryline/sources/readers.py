@@ -30,9 +30,10 @@ TASK = ", ".join(f"{f} string" for f in TASK_FIELDS)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on any store that Spark reads."""
+    """Whether a path, or any that its pattern names, is there, on any store that Spark reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(p) or len(store.globStatus(p) or []) > 0
 
 
 def first_path(spark: SparkSession, *paths: str) -> str:

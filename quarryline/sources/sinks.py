@@ -33,14 +33,20 @@ def config_json(config: object) -> str:
     return json.dumps(config, default=public, sort_keys=True)
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """A run's artefacts: summary (one row), task_results (JSON lines), patches and traces as text files by instance."""
+def write_results(results: DataFrame, path: str, folders: bool = False) -> None:
+    """A run's artefacts: summary (one row), task_results (JSON lines), patches and traces as JSON lines of instance_id and value.
+
+    folders: patches and traces as text files in a folder for each instance, for runs of few tasks.
+    """
     resolved = F.coalesce(F.avg(F.col("resolved").cast("double")), F.lit(0.0))
     results.agg(F.count("*").alias("total"), F.count_if("resolved").alias("n_resolved"), resolved.alias("resolution_rate")).write.mode("overwrite").json(f"{path}/summary")
     results.drop("trace").write.mode("overwrite").json(f"{path}/task_results")
     for name, column in (("patches", "patch"), ("traces", "trace")):
         rows = results.where(F.col(column).isNotNull()).select("instance_id", F.col(column).alias("value"))
-        rows.write.mode("overwrite").partitionBy("instance_id").text(f"{path}/{name}")
+        if folders:
+            rows.write.mode("overwrite").partitionBy("instance_id").text(f"{path}/{name}")
+        else:
+            rows.write.mode("overwrite").json(f"{path}/{name}")
 
 
 def released(version: str, what: str, changelog: str, message: str, date: str) -> tuple[str, str]:

@@ -255,7 +255,7 @@ def test_more_sinks(spark, tmp_path):
         sinks.telemetry_event("other", "v1", F.struct(F.lit(1).alias("x")))
     assert sinks.config_json({"b": 1, "a": type("C", (), {"__init__": lambda self: self.__dict__.update(x=1, _y=2)})()}) == '{"a": {"x": 1}, "b": 1}'
     results = spark.createDataFrame([("a", True, "diff", "log"), ("b", False, None, "log2")], "instance_id string, resolved boolean, patch string, trace string")
-    sinks.write_results(results, f"{tmp_path}/r")
+    sinks.write_results(results, folders=True, path=f"{tmp_path}/r")
     assert spark.read.json(f"{tmp_path}/r/summary").first().resolution_rate == 0.5 and spark.read.json(f"{tmp_path}/r/task_results").count() == 2
     assert spark.read.text(f"{tmp_path}/r/patches").first().instance_id == "a" and spark.read.text(f"{tmp_path}/r/traces").count() == 2
     assert sinks.released("v1.2.3", "minor", "# Log\n", "more", "2024-01-02") == ("1.3.0", "# Log\n\n## [v1.3.0] - 2024-01-02\n- more\n")
