@@ -3,7 +3,8 @@
 A template is words with markup: ``<<beginOptional>>`` and ``<<endOptional>>`` hold wording that may be missing (they nest),
 and ``<<var;NAME;LOW;HIGH>>`` stands for LOW to HIGH words of any kind. It is compiled to an automaton over words. A text
 carries the template's licence where consecutive words lead from its start to its end; mandatory wording must be the same
-word for word. Only texts that hold every mandatory word are searched, and only from words that can begin the template.
+word for word. Of matches that lie in each other the longest counts, so a text that goes on as another licence does not
+carry the shorter one, and a notice right behind a negation states nothing. Only texts that hold every mandatory word are searched, and only from words that can begin the template.
 
 Words: A-Z lower-cased, then runs of ASCII letters, digits and all characters beyond ASCII.
 """
@@ -19,28 +20,33 @@ from pyspark.sql import DataFrame
 # Phrases and the labels they give.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Notices in template markup and the labels they give.
+# Texts and notices in template markup and the labels they give; what follows # tells templates of one label apart, and
+# those named part are no whole licence.
 TEMPLATES = {
-    "GPL-3.0": "<<beginOptional>>this <<var;work;1;3>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under <<beginOptional>>the terms of<<endOptional>> the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 3 <<beginOptional>>of the license<<endOptional>> <<beginOptional>>or at your option any later version<<endOptional>>",
-    "GPL-2.0": "the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 2 <<beginOptional>>of the license<<endOptional>> <<beginOptional>>or at your option any later version<<endOptional>>",
-    "GPL-warranty": "distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
-    "Apache-2.0": "licensed under the apache license version 2 0 <<beginOptional>>the license you may not use this file except in compliance with the license<<endOptional>>",
-    "Apache-2.0-notice": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
-    "MIT": "<<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> mit license",
-    "MIT-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software",
+    "GPL-3.0#part": "<<beginOptional>>this <<var;work;1;3>> is<<endOptional>> <<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under <<beginOptional>>the terms of<<endOptional>> the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 3 <<beginOptional>>of the license<<endOptional>> <<beginOptional>>or at your option any later version<<endOptional>>",
+    "GPL-2.0#part": "the gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> version 2 <<beginOptional>>of the license<<endOptional>> <<beginOptional>>or at your option any later version<<endOptional>>",
+    "GPL#part": "distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details",
+    "Apache-2.0#part": "licensed under the apache license version 2 0 <<beginOptional>>the license you may not use this file except in compliance with the license<<endOptional>>",
+    "Apache-2.0#part end": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "MIT#part": "<<beginOptional>>released<<endOptional>> <<beginOptional>>licensed<<endOptional>> under the <<beginOptional>>terms of the<<endOptional>> mit license",
+    "MIT#part grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial portions of the software",
     "BSD-3-Clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var;bullet;0;2>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;bullet;0;2>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <<var;bullet;0;2>> neither the name of <<var;organisation;1;12>> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-    "BSD-2-Clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var;bullet;0;2>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;bullet;0;2>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <<beginOptional>>this software is provided by <<var;holder;1;12>> as is<<endOptional>>",
+    "BSD-2-Clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var;bullet;0;2>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var;bullet;0;2>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by <<var;holder;1;12>> as is",
     "Zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
     "Unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
-    "Apache-2.0-header": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at <<var;address;1;10>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
-    "MIT-warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<var;holder;1;12>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "Apache-2.0": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at <<var;address;1;10>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    "MIT#part warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<var;holder;1;12>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     "MPL-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at <<var;address;1;8>>",
     "ISC": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "CC-BY-NC-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by nc 4 0 <<beginOptional>>license<<endOptional>>",
-    "CC-BY-SA-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by sa 4 0 <<beginOptional>>license<<endOptional>>",
-    "CC-BY-4.0": "licensed under <<beginOptional>>a<<endOptional>> cc by 4 0 <<beginOptional>>license<<endOptional>>",
+    "CC-BY-NC-4.0#part": "licensed under <<beginOptional>>a<<endOptional>> cc by nc 4 0 <<beginOptional>>license<<endOptional>>",
+    "CC-BY-SA-4.0#part": "licensed under <<beginOptional>>a<<endOptional>> cc by sa 4 0 <<beginOptional>>license<<endOptional>>",
+    "CC-BY-4.0#part": "licensed under <<beginOptional>>a<<endOptional>> cc by 4 0 <<beginOptional>>license<<endOptional>>",
 }
 
+# The whole licence is its grant and its warranty.
+TEMPLATES["MIT"] = TEMPLATES["MIT#part grant"] + " " + TEMPLATES["MIT#part warranty"]
+NEGATIONS = {b"not", b"never", b"cannot"}
+
 MARKUP = re.compile(r"<<(.*?)>>|([^\s<>]+)", re.DOTALL)
 NOT_WORD = bytes(32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
 
@@ -133,12 +139,22 @@ class Automaton:
         return best
 
 
+def outermost(spans: list[tuple]) -> list[tuple]:
+    """The spans (start, end, ...) that lie in no longer one."""
+    out, reach = [], (0, -1)
+    for span in sorted(spans, key=lambda m: (m[0], -m[1])):
+        if span[1] > reach[1] or span[:2] == reach:
+            out.append(span)
+            reach = span[:2]
+    return out
+
+
 class Scanner:
     """Phrases and templates over word lists."""
 
     def __init__(self, phrases: dict[str, str], templates: dict[str, str]) -> None:
         self.phrases = [(tuple(words_of(p)), label) for p, label in phrases.items()]
-        self.automata = [(label, Automaton(t)) for label, t in templates.items()]
+        self.automata = [(*name.partition("#")[::2], Automaton(t)) for name, t in templates.items()]
         self.starts: dict[bytes, list[tuple[tuple[bytes, ...], str]]] = {}
         for p, label in self.phrases:
             self.starts.setdefault(p[0], []).append((p, label))
@@ -154,17 +170,21 @@ class Scanner:
                     if tuple(words[i : i + len(phrase)]) == phrase:
                         places.append(i)
                         labels.add(label)
-        base, covered = set(labels), 0
-        for label, a in self.automata:
-            if not held.issuperset(a.mandatory):
-                continue
-            begin = range(len(words)) if a.open_start else (i for i, w in enumerate(words) if w in a.first)
-            found = [(i, end) for i in begin if (end := a.match(words, i)) is not None]
-            if found:
-                labels.add(label)
-                covered = max(covered, max(end - i for i, end in found))
-        # 1 with a whole notice, one half with a phrase alone
-        score = 1.0 if covered else 0.5 if places else 0.0
+        base, spans = set(labels), []
+        for label, part, a in self.automata:
+            if held.issuperset(a.mandatory):
+                upto = -1
+                for i in range(len(words)) if a.open_start else (i for i, w in enumerate(words) if w in a.first):
+                    # what begins inside a match of the same template and ends no later is part of it
+                    if (end := a.match(words, i)) is not None and end > upto:
+                        spans.append((i, end, label, bool(part)))
+                        upto = end
+        kept = [m for m in outermost(spans) if not (m[3] and m[0] and words[m[0] - 1] in NEGATIONS)]
+        found = {label for _, _, label, _ in kept}
+        # one label a licence: a version tells more than the name alone
+        labels |= {x for x in found if not any(y.startswith(x + "-") for y in found)}
+        # 1 with a whole licence, three quarters with a notice or a part, one half with a phrase alone
+        score = max((0.75 if part else 1.0 for *_, part in kept), default=0.5 if places else 0.0)
         return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
 
 
@@ -175,8 +195,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     """One row for each row of docs (doc_id, text): counts and places of phrases, labels and a score.
 
     A null text counts as empty: no words, no places, empty labels, null places. first_word and last_word are the smallest
-    and largest start of a phrase. labels has the phrases' labels and those of the notices. score is 1 for a whole notice,
-    0.5 for a phrase alone, else 0. Texts of any length are read whole; of places that tie the smallest and largest are
+    and largest start of a phrase. labels has the phrases' labels and those of the licences. score is 1 for a whole licence, 0.75 for
+    a notice or a part of one, 0.5 for a phrase alone, else 0. Texts of any length are read whole; of places that tie the smallest and largest are
     given; repeated rows are scanned each; an empty table gives an empty result. There is no shuffle; other columns are left
     out, those with names of the result's too.
     """

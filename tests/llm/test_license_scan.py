@@ -67,3 +67,42 @@ def test_bad_markup_and_empty_table(spark):
     with pytest.raises(ValueError):
         ls.Automaton("<<var;x;1;2>>")
     assert ls.scan_licenses(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+THIRD = "3. Neither the name of the Foo Project nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."
+GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+
+
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        (BSD + THIRD + AS_IS, "BSD-3-Clause", 1.0),
+        (BSD + AS_IS, "BSD-2-Clause", 1.0),
+        (BSD, "", 0.0),
+        (GRANT + WARRANTY, "MIT", 1.0),
+        (GRANT, "MIT", 0.75),
+        (APACHE, "Apache-2.0,apache", 1.0),
+        ("Licensed under the Apache License, Version 2.0.", "Apache-2.0,apache", 0.75),
+        ("this is not licensed under the mit license at all", "mit", 0.5),
+        ("it was never released under the MIT License", "mit", 0.5),
+        ("not mine, but licensed under the MIT License", "MIT,mit", 0.75),
+        ("under the GNU General Public License version 3. " + "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.", "GPL-3.0,gpl", 0.75),
+        (BSD + AS_IS + " " + GRANT + WARRANTY, "BSD-2-Clause,MIT", 1.0),
+        ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0,cc-by", 0.75),
+    ],
+)
+def test_one_label_a_licence(text, labels, score):
+    got = ls.Scanner(ls.PHRASES, ls.TEMPLATES).scan(f"See below. {text} End")
+    assert (got[5], got[6]) == (labels, score)
+
+
+def test_outermost_spans_against_all_pairs():
+    rng = random.Random(9)
+    for _ in range(500):
+        spans = list({(a := rng.randrange(12), a + rng.randrange(1, 8), rng.choice("xy"), False) for _ in range(rng.randrange(8))})
+        want = [m for m in spans if not any(n[0] <= m[0] and m[1] <= n[1] and n[1] - n[0] > m[1] - m[0] for n in spans)]
+        assert sorted(ls.outermost(spans)) == sorted(want)
