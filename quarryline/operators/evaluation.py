@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.text import stripped
 from quarryline.operators.quantiles import exact_quantiles
+from quarryline.session import stored
 
 TIERS = ["SIMPLE", "MODERATE", "COMPLEX"]
 
@@ -65,12 +66,20 @@ def report(results: DataFrame) -> DataFrame:
 
     The rate is that of all tasks; truncation and tool calls are means of folds, each counting once. Folds and their repositories are few.
     """
-    folds = fold_results(results)
+    # all that is told comes from one pass: sums by fold and tier, a few rows
+    sums = stored(results.groupBy("fold", "complexity").agg(
+        F.min(F.struct("ord", "repo")).alias("first"), F.count("*").alias("n"), F.count("resolved").alias("known"), F.count_if("resolved").alias("hits"),
+        F.count("had_truncation").alias("told"), F.count_if("had_truncation").alias("cut"), F.count("num_tool_calls").alias("used"), F.sum("num_tool_calls").alias("calls"),
+    ), "sums")
+    ratio = lambda a, b: F.coalesce(F.try_divide(F.sum(a).cast("double"), F.sum(b)), F.lit(0.0))
+    folds = sums.groupBy("fold").agg(F.min("first").alias("first"), ratio("hits", "known").alias("resolution_rate"), ratio("cut", "told").alias("truncation_rate"), ratio("calls", "used").alias("avg_tool_calls"))
+    folds = folds.withColumn("val_repo", F.col("first.repo"))
     entries = folds.groupBy("val_repo").agg(F.max_by("resolution_rate", "fold").alias("rate"), F.min("fold").alias("place"))
     repos = entries.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("val_repo", "rate")))).alias("per_repo"), F.min(F.struct("rate", "place", "val_repo")).alias("weak"))
     means = folds.agg(F.coalesce(F.avg("truncation_rate"), F.lit(0.0)).alias("t"), F.coalesce(F.avg("avg_tool_calls"), F.lit(0.0)).alias("u"), F.count("*").alias("n_folds"))
-    rates = [share(F.col("resolved"), F.col("complexity") == t).alias(t.lower()) for t in TIERS]
-    whole = results.agg(share(F.col("resolved")).alias("rate"), *rates).crossJoin(F.broadcast(repos)).crossJoin(F.broadcast(means))  # one row each
+    of = lambda t, c: F.when(F.col("complexity") == t, F.col(c))
+    rates = [ratio(of(t, "hits"), of(t, "known")).alias(t.lower()) for t in TIERS]
+    whole = sums.agg(ratio("hits", "known").alias("rate"), *rates).crossJoin(F.broadcast(repos)).crossJoin(F.broadcast(means))  # one row each
     advice = F.array(
         F.when(F.col("rate") < 0.20, LOW_RATE),
         F.when(F.col("weak.rate") < 0.5 * F.col("rate"), F.concat(F.lit(WEAK_REPO[0]), F.col("weak.val_repo"), F.lit(WEAK_REPO[1]))),

@@ -14,7 +14,7 @@ from quarryline.operators import configs, diffs, evaluation, folds, inspection,
 from quarryline.plans.dialect import SPARK
 from quarryline.plans.tasks import RESULTS
 from quarryline.plans.texts import patches
-from quarryline.session import sql
+from quarryline.session import sql, stored
 
 #: Paths of every kind that the path predicates tell apart.
 PATHS = """
@@ -199,23 +199,23 @@ VERIFIED = """
            CAST(p_partkey % 2 AS INT) AS exit_code, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_partkey % 5 AS INT) END AS passed, CAST(p_partkey % 7 AS INT) AS failed, CASE WHEN p_partkey % 11 = 0 THEN 1 END AS errors FROM part"""
 
 
-def peers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = results(spark, sf_dir)
+def peers(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The folds of the even tasks' results and those of the odd tasks'."""
     side = lambda k: evaluation.fold_results(rows.where(F.col("id") % 2 == k)).withColumnRenamed("fold", "fold_idx")
     return side(0), side(1)
 
 
 def cmp_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inspection.fold_comparison(*peers(spark, sf_dir))
+    rows = inspection.fold_comparison(*peers(results(spark, sf_dir)))
     return rows.select("val_repo", *(F.round(c, 9).alias(c) for c in ("peer", "baseline", "delta")))
 
 
 def cmp_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decision on the even tasks' run against the odd tasks', for three public scores."""
-    peer, base = peers(spark, sf_dir)
+    tasks = stored(results(spark, sf_dir), "results")
+    peer, base = (stored(x, "peer") for x in peers(tasks))  # a few folds each
     improving = inspection.fold_comparison(peer, base).agg(F.count_if(F.col("delta") > 0).alias("improving"))
     both = [x.agg((F.sum("n_resolved") / F.sum("total")).alias(f"rate_{k}"), F.sum("n_resolved").cast("int").alias(f"hits_{k}"), F.sum("total").cast("int").alias(f"n_{k}")) for k, x in (("a", peer), ("b", base))]
-    tasks = results(spark, sf_dir)
     rates = tasks.groupBy((F.col("id") % 7).alias("technique")).agg(evaluation.share(F.col("resolved")).alias("resolution_rate"))
     whole = tasks.agg(evaluation.share(F.col("resolved")).alias("base"))
     helps = inspection.beneficial_techniques(rates.crossJoin(whole), F.col("base"), 0.001).agg(F.count("*").alias("beneficial"))

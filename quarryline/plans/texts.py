@@ -32,7 +32,6 @@ def n(condition: str) -> str:
 
 
 EDGES = "edges AS (SELECT DISTINCT l_suppkey AS source, l_partkey AS target FROM lineitem)"
-BOTH = "both_ways AS (SELECT source AS a, target + 1000000 AS b FROM edges UNION ALL SELECT target + 1000000, source FROM edges)"
 
 QUERIES = {
     # PRJ-01..03: changed files and lines of a patch, and its tier
@@ -87,11 +86,6 @@ QUERIES = {
     "graph_indegree": lambda d: f"WITH {EDGES} SELECT target, degree FROM (SELECT target, CAST(count(*) AS BIGINT) AS degree FROM edges GROUP BY target) a ORDER BY degree DESC, target LIMIT 8",
     # GRF-05: neighbours of a node by direction
     "graph_neighbors": lambda d: f"WITH {EDGES} SELECT 'out' AS direction, target AS node FROM edges WHERE source = 7 UNION ALL SELECT 'in', source FROM edges WHERE target = 7",
-    # GRF-03: nodes within two steps, capped by degree
-    "graph_ego": lambda d: f"""
-        WITH {EDGES}, {BOTH}, one AS (SELECT DISTINCT b AS node FROM both_ways WHERE a = 7), two AS (SELECT DISTINCT w.b AS node FROM both_ways w JOIN one ON w.a = one.node UNION SELECT node FROM one UNION SELECT 7),
-             deg AS (SELECT a AS node, CAST(count(*) AS BIGINT) AS degree FROM both_ways GROUP BY a)
-        SELECT deg.node, degree FROM deg JOIN two ON deg.node = two.node ORDER BY degree DESC, deg.node LIMIT 40""",
     # GRF-06: the subgraph that some nodes induce
     "graph_subgraph": lambda d: f"WITH {EDGES} SELECT source, target FROM edges WHERE source IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 9000) AND target IN (SELECT p_partkey FROM part WHERE p_size = 1)",
     # TXT-01, TXT-02: term weights and the ranking of documents for a query of terms
