@@ -247,7 +247,9 @@ def training_page(rng: random.Random) -> str:
         return f"<{tag}{attribute(kind, 0.97 if plain else 0.5)}>{body}</{tag}>"
 
     def main_blocks() -> str:
-        out = [f"<h1>@{words(rng.randint(3, 10))}</h1>"] if rng.random() < 0.85 else []
+        out = [f"<h1>@{words(rng.randint(1, 10))}</h1>"] if rng.random() < 0.85 else []
+        if out and rng.random() < 0.25:  # an article's own header
+            out = [f"<{(tag := rng.choice(['header', 'div', 'hgroup']))}{attribute('head', 0.5)}>{out[0]}</{tag}>"]
         for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 14])):
             n = rng.choice([1, 2, 4, 12, 30, 60, 120])
             kind = rng.random()
@@ -278,9 +280,12 @@ def training_page(rng: random.Random) -> str:
         inner = f"<div{attribute('main', 0.5)}>{inner}</div>"
     if rng.random() < 0.3:
         inner += boiler("talk")
-    core = f"<{tag}{extra}>{inner}</{tag}>"
+    # some pages have no element of their own around the article
+    core = f"<{tag}{extra}>{inner}</{tag}>" if rng.random() < 0.8 else inner
     before = [boiler(k) for k in ("nav", "head", "ad", "notice", "side", "form") if rng.random() < 0.45]
     after = [boiler(k) for k in ("talk", "side", "ad", "form", "notice", "nav") if rng.random() < 0.35] + ([boiler("foot")] if rng.random() < 0.85 else [])
+    if rng.random() < 0.12:
+        before, after = [], []
     rng.shuffle(before)
     wrap = rng.random() < 0.3
     body = "".join(before) + core + "".join(after)

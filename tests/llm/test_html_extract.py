@@ -113,3 +113,19 @@ def test_pages_labelled_by_hand():
 def test_very_long_pages_of_tags_take_linear_time():
     page = article("<p>x, y.</p>" + "<button><select><b>" * 40_000)
     assert he.extract([page], he.trained())[0].startswith("T\nx, y.")
+
+
+def test_pages_without_an_element_around_the_article():
+    """Headings and paragraphs right in the body, alone or beside menus and footers, and headings in a header of the article's own."""
+    text = "<p>One paragraph, with text of some length.</p><p>Another one, as told here.</p>"
+    want = "Title here\nOne paragraph, with text of some length.\nAnother one, as told here."
+    pages = [
+        f"<body><h1>Title here</h1>{text}</body>",
+        f"<h1>Title here</h1>{text}",
+        f"<body><nav><a href=x>Home</a> <a href=y>News</a></nav><h1>Title here</h1>{text}<footer>Imprint</footer></body>",
+        f"<body><div class='ad'>Buy two, get one free.</div><h1>Title here</h1>{text}<div id='comments'><p>Well told, thanks.</p></div></body>",
+        f"<article><header class='entry-header'><h1>Title here</h1></header>{text}</article>",
+        f"<header class='site-header'><a href=/>Site</a></header><article><header><h1>Title here</h1></header>{text}</article>",
+    ]
+    assert he.extract(pages, he.trained()) == [want] * len(pages)
+    assert he.extract(["<body><h1>Title</h1>plain text that goes on for a while, and then ends.</body>"], he.trained()) == ["Title\nplain text that goes on for a while, and then ends."]
