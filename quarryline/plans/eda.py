@@ -154,11 +154,9 @@ def fn_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first three lines of each text that name a licence, with their numbers."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    hits = lines.where(F.col("line").rlike("(?i)licen[cs]e") & (F.trim("line") != ""))
-    held = hits.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.col("line_no").cast("long"))), 1, 3).alias("lines"))
-    return held.select("doc_id", F.array_join(F.transform("lines", lambda x: x.cast("string")), ",").alias("lines"))
+    """The first three lines of each text that name a licence or a token, with their numbers."""
+    rows = readers.facts(table(spark, sf_dir, "documents"), "doc_id", "text", {"licence": "licen[cs]e", "token": "token"})
+    return rows.select("doc_id", "fact", F.col("line_no").cast("long").alias("line_no"), F.sha2("line", 256).alias("line_sha"))
 
 
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,8 +269,8 @@ ORACLE = {
                CASE WHEN p_size > 1 THEN 'a' ELSE 'b' END AS first_over_one FROM part""",
     "facts": """
         WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
-             h AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r FROM l WHERE regexp_matches(line, '(?i)licen[cs]e'))
-        SELECT doc_id, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS lines FROM h WHERE r <= 3 GROUP BY doc_id""",
+             h AS (SELECT *, 'licence' AS fact FROM l WHERE regexp_matches(line, '(?i)licen[cs]e') UNION ALL SELECT *, 'token' FROM l WHERE regexp_matches(line, '(?i)token'))
+        SELECT doc_id, fact, k AS line_no, sha256(trim(line)) AS line_sha FROM h QUALIFY row_number() OVER (PARTITION BY doc_id, fact ORDER BY k) <= 3""",
     "stream_sliding": """
         WITH e AS (SELECT event_type, value, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS start FROM events)
         SELECT start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM e GROUP BY ALL""",

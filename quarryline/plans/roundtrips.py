@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.operators import diffs, inspection
+from quarryline.operators import diffs, inspection, trajectories
 from quarryline.session import shared_folder, sql, table
 from quarryline.sources import archives, readers, sinks
 from quarryline.streaming import telemetry
@@ -69,6 +69,27 @@ def src_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.groupBy("lang").agg(F.count("*").alias("n_files"), F.sum("length").alias("bytes")).join(lines.groupBy("lang").agg(F.sum("n_lines").alias("n_lines")), "lang")
 
 
+def src_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves of YAML texts with nested mappings and lists; every eleventh can't be read."""
+    rows = sql(spark, sf_dir, """
+        SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN 'key: [unclosed' ELSE 'name: ' || p_name || chr(10) || 'train:' || chr(10) || '  rate: ' || CAST(p_size AS STRING) || chr(10) || '  steps: [' || CAST(p_size AS STRING) || ', ' || p_brand || ']' || chr(10)
+               || 'none: null' || chr(10) || 'prompt: !include ' || p_type || '.md' || chr(10) END AS text FROM part""")
+    return readers.yaml_leaves(rows, "id", "text").withColumn("error", F.col("error").isNotNull())
+
+
+def snk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of the days' events as one JSON text in order."""
+    days = sql(spark, sf_dir, "SELECT substr(CAST(ts AS STRING), 1, 10) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+    return sinks.history_json(days, "day")
+
+
+def pref_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rollouts of one task whose scores lie more than the margin apart."""
+    rows = sql(spark, sf_dir, "SELECT l_orderkey AS instance_id, l_linenumber * 1000000 + l_partkey AS gen, max(l_discount) * 10 AS score FROM lineitem GROUP BY 1, 2")
+    out = trajectories.preference_pairs(rows)
+    return out.select("instance_id", "chosen", "rejected", F.round("chosen_score", 9).alias("chosen_score"), F.round("rejected_score", 9).alias("rejected_score"))
+
+
 def snk_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run's artefacts, written and read back: its summary, and its patches and traces by instance."""
     path = _folder(spark, "results")
@@ -137,7 +158,7 @@ def stream_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (src_tasks, src_graphs, src_notebooks, src_texts, snk_results, snk_submission, snk_registry, snk_telemetry, edit_strings, chk_checkpoints, stream_budget, stream_stops)
+    for f in (src_tasks, src_graphs, src_notebooks, src_texts, src_yaml, snk_history, pref_rollouts, snk_results, snk_submission, snk_registry, snk_telemetry, edit_strings, chk_checkpoints, stream_budget, stream_stops)
 }
 
 _EDIT = "'def f(x):' || chr(10) || '    return 1'"
@@ -148,6 +169,16 @@ ORACLE = {
     "src_graphs": "SELECT l_suppkey AS s, count(DISTINCT l_partkey) AS n_edges, count(DISTINCT l_partkey) AS n_targets, CASE WHEN l_suppkey % 3 = 0 THEN count(DISTINCT l_partkey) ELSE 0 END AS n_typed FROM lineitem WHERE l_quantity > 45 GROUP BY l_suppkey",
     "src_notebooks": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'code' ELSE 'markdown' END AS cell_type, sha256(text) AS text_sha FROM documents",
     "src_texts": "SELECT lang, 1 AS n_files, CAST(sum(length('line ' || doc_id) + 1) AS BIGINT) AS bytes, count(*) AS n_lines FROM documents GROUP BY lang",
+    "src_yaml": """
+        WITH g AS (SELECT * FROM part WHERE p_partkey % 11 <> 0)
+        SELECT p_partkey AS id, '/name' AS path, 'name' AS name, p_name AS value, FALSE AS error FROM g UNION ALL SELECT p_partkey, '/train/rate', 'rate', CAST(p_size AS VARCHAR), FALSE FROM g UNION ALL SELECT p_partkey, '/train/steps/0', '0', CAST(p_size AS VARCHAR), FALSE FROM g
+        UNION ALL SELECT p_partkey, '/train/steps/1', '1', p_brand, FALSE FROM g UNION ALL SELECT p_partkey, '/none', 'none', NULL, FALSE FROM g UNION ALL SELECT p_partkey, '/prompt', 'prompt', p_type || '.md', FALSE FROM g
+        UNION ALL SELECT p_partkey, NULL, NULL, NULL, TRUE FROM part WHERE p_partkey % 11 = 0""",
+    "snk_history": """
+        SELECT '[' || string_agg('{"day":"' || day || '","n":' || n || ',"users":' || users || '}', ',' ORDER BY day) || ']' AS json FROM (SELECT substr(CAST(ts AS VARCHAR), 1, 10) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1) d""",
+    "pref_rollouts": """
+        WITH s AS (SELECT l_orderkey AS instance_id, l_linenumber * 1000000 + l_partkey AS gen, max(l_discount) * 10 AS score FROM lineitem GROUP BY 1, 2)
+        SELECT a.instance_id, a.gen AS chosen, b.gen AS rejected, round(a.score, 9) AS chosen_score, round(b.score, 9) AS rejected_score FROM s a JOIN s b ON a.instance_id = b.instance_id AND a.score - b.score > 0.3""",
     "snk_results": """
         SELECT 'summary' AS kind, count(*) AS n, round(avg(CASE WHEN p_size > 25 THEN 1.0 ELSE 0.0 END), 9) AS rate FROM part UNION ALL SELECT 'patches', count(*), round(avg(p_partkey), 6) FROM part WHERE p_partkey % 3 <> 0
         UNION ALL SELECT 'traces', count(*), round(avg(p_partkey), 6) FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT 'task_results', count(*), round(avg(p_partkey), 6) FROM part""",
