@@ -168,7 +168,7 @@ ORACLE = {
                CASE WHEN p_partkey % 2 = 0 THEN CAST(epoch(TIMESTAMP '2024-05-06 01:02:03') AS BIGINT) END AS created FROM part""",
     "src_graphs": "SELECT l_suppkey AS s, count(DISTINCT l_partkey) AS n_edges, count(DISTINCT l_partkey) AS n_targets, CASE WHEN l_suppkey % 3 = 0 THEN count(DISTINCT l_partkey) ELSE 0 END AS n_typed FROM lineitem WHERE l_quantity > 45 GROUP BY l_suppkey",
     "src_notebooks": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'code' ELSE 'markdown' END AS cell_type, sha256(text) AS text_sha FROM documents",
-    "src_texts": "SELECT lang, 1 AS n_files, CAST(sum(length('line ' || doc_id) + 1) AS BIGINT) AS bytes, count(*) AS n_lines FROM documents GROUP BY lang",
+    "src_texts": "SELECT lang, CAST(1 AS BIGINT) AS n_files, CAST(sum(length('line ' || doc_id) + 1) AS BIGINT) AS bytes, count(*) AS n_lines FROM documents GROUP BY lang",
     "src_yaml": """
         WITH g AS (SELECT * FROM part WHERE p_partkey % 11 <> 0)
         SELECT p_partkey AS id, '/name' AS path, 'name' AS name, p_name AS value, FALSE AS error FROM g UNION ALL SELECT p_partkey, '/train/rate', 'rate', CAST(p_size AS VARCHAR), FALSE FROM g UNION ALL SELECT p_partkey, '/train/steps/0', '0', CAST(p_size AS VARCHAR), FALSE FROM g
