@@ -164,26 +164,31 @@ def ego_graphs(edges: DataFrame, centers: DataFrame, least: int = 8, most: int =
     """(center, node, degree, place): the neighbourhood of each center (node) in edges (source, target), whatever their direction.
 
     One step from the center, or two where one leads to fewer than least nodes with it; of these the center and then those of
-    the highest degree, up to most. A neighbour can only bring in the most nodes of highest degree next to it, so each list is
-    cut to those before it is joined: a hub behind a small center gives most rows, not all of its neighbours.
+    the highest degree, up to most. A neighbour can only bring in the most nodes of highest degree next to it, so its list is
+    cut to those before it is joined; all neighbours of a wide center count, also those that are themselves left out. The best
+    of each list give a place among all nodes that a wide center's last one has at least; what stands behind it is never listed.
     """
     pairs = edges.select(F.col("source").alias("a"), F.col("target").alias("b")).where("a <> b")
     pairs = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "pairs")
     degrees = stored(pairs.groupBy("a").agg(F.count("*").alias("degree")), "degrees")
     asked = centers.select(F.col("node").alias("center")).distinct().join(degrees.withColumnRenamed("a", "center"), "center", "left")
-    asked = asked.select("center", F.coalesce("degree", F.lit(0)).alias("degree"))
-
-    def best_neighbours(nodes: DataFrame) -> DataFrame:
-        """(a, b, degree): of each node (a) the most neighbours of highest degree."""
-        near = pairs.join(nodes, "a", "left_semi").join(degrees.select(F.col("a").alias("b"), "degree"), "b")
-        place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("degree"), "b"))
-        return near.withColumn("place", place).where(F.col("place") <= most).select("a", "b", "degree")
-
-    one = stored(best_neighbours(asked.select(F.col("center").alias("a"))), "one")
+    asked = stored(asked.select("center", F.coalesce("degree", F.lit(0)).alias("degree")), "asked")
     wide = asked.where(F.col("degree") + 1 < least).select("center")
-    steps = one.join(wide, one["a"] == wide["center"], "left_semi").select(F.col("a").alias("center"), F.col("b").alias("a"))
-    two = steps.join(best_neighbours(steps.select("a").distinct()), "a").select("center", F.col("b").alias("node"), "degree")
-    near = one.select(F.col("a").alias("center"), F.col("b").alias("node"), "degree").unionByName(two).where("center <> node").distinct()
-    every = near.unionByName(asked.select("center", F.col("center").alias("node"), "degree"))
+    steps = stored(wide.join(pairs, wide["center"] == pairs["a"]).select("center", F.col("b").alias("a")), "steps")
+    ends = asked.select(F.col("center").alias("a")).unionByName(steps.select("a")).distinct()
+    # the most neighbours of highest degree of each node that is asked; -degree, node is the order of places
+    near = pairs.join(ends, "a", "left_semi").join(degrees.select(F.col("a").alias("b"), "degree"), "b")
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("degree"), "b"))
+    best = near.withColumn("place", place).where(F.col("place") <= most).select("a", F.struct((-F.col("degree")).alias("low"), F.col("b").alias("node")).alias("x"))
+    lists = stored(best.groupBy("a").agg(F.sort_array(F.collect_list("x")).alias("list")), "lists")  # at most that many each
+    own = asked.join(lists, asked["center"] == lists["a"]).select("center", "list")
+    heads = steps.join(lists.select("a", F.slice("list", 1, 2).alias("heads")), "a").select("center", F.explode("heads").alias("x"))
+    heads = heads.where("x.node <> center").distinct()
+    last = F.row_number().over(Window.partitionBy("center").orderBy("x"))
+    reach = heads.withColumn("place", last).where(F.col("place") == most).select("center", F.col("x").alias("reach"))
+    asking = steps.join(reach, "center", "left")
+    two = asking.join(lists, "a").select("center", F.explode(F.filter("list", lambda x: F.col("reach").isNull() | (x <= F.col("reach")))).alias("x"))
+    every = own.select("center", F.explode("list").alias("x")).unionByName(two).where("x.node <> center").distinct()
+    every = every.select("center", F.col("x.node").alias("node"), (-F.col("x.low")).alias("degree")).unionByName(asked.select("center", F.col("center").alias("node"), "degree"))
     place = F.row_number().over(Window.partitionBy("center").orderBy(F.col("node") != F.col("center"), F.desc("degree"), "node"))
     return every.withColumn("place", place.cast("long")).where(F.col("place") <= most)

@@ -109,6 +109,15 @@ def test_ego_graphs_against_brute_force(spark, least, most):
         assert [r.node for r in sorted(got, key=lambda r: r.place) if r.center == c] == brute_ego(edges, c, least, most)
 
 
+def test_ego_graphs_follow_neighbours_that_are_left_out(spark):
+    rng = random.Random(3)  # the hubs 900 to 919 are reached by leaves of low degree alone, which are not among the most
+    edges = [(0, k) for k in range(1, 81)] + [(k, 900 + k // 4) for k in range(1, 81)] + [(900 + h, 1000 + rng.randrange(200)) for h in range(21) for _ in range(60)]
+    edges += [(k, 2000 + k * 10 + j) for k in range(1, 11) for j in range(4)]
+    got = retrieval.ego_graphs(spark.createDataFrame(edges, "source long, target long"), spark.createDataFrame([(0,), (900,), (7,)], "node long"), 1 << 40, 10).collect()
+    for c in (0, 900, 7):
+        assert [r.node for r in sorted(got, key=lambda r: r.place) if r.center == c] == brute_ego(edges, c, 1 << 40, 10)
+
+
 def test_shards_of_wide_rows_lose_none(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     parts = [retrieval.sharded(docs, "doc_id", k, 7) for k in (0, 3)]
