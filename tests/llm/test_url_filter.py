@@ -95,3 +95,14 @@ def test_equal_lengths_long_urls_and_clashing_columns(spark):
     assert got == {1: ("aa.b/cc/", "block"), 2: ("b/x", "block")}
     best = spark.createDataFrame([("a.b.c", "/dd")], "h string, p string").select(uf.matching_rule(F.col("h"), F.col("p"), [("allow", "c/dd"), ("block", "b.c/")]).alias("m")).first().m
     assert best.rule == "b.c/"  # as long as c/dd, of the longer host
+
+
+def test_aliases_of_the_query_are_urls_letter_for_letter(spark, tmp_path):
+    from quarryline.llm import queries
+
+    # the URL of 1 is that of 3 but for its fragment; 5 has none, and lies between 11 and 2
+    rows = [(1, "http://a.net/x#top", ""), (2, "http://a.com/de/", ""), (3, "http://a.net/x", ""), (4, "http://A.net/x", ""), (5, None, ""), (11, "http://b.net/", "")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.verdict for r in queries.url_aliases(spark, str(tmp_path)).collect()}
+    # links: 2 - 1, 4 - 2, 5 - 2, 11 - 5; 3 leads to none, and shares no URL
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "block", 11: "block"}
