@@ -19,17 +19,25 @@ def ln_factorial(n: Column) -> Column:
 
 
 def permutation_p(hits_a: Column, n_a: Column, hits_b: Column, n_b: Column) -> Column:
-    """One-sided p of a permutation test of two 0/1 samples: the hypergeometric tail, exactly."""
+    """One-sided p of a permutation test of two 0/1 samples: the hypergeometric tail, exactly.
+
+    Left out are terms six times sqrt(n_a + 1) from the largest of the tail: the logarithm of the terms bends by at least
+    4 / (n_a + 1) a step, so each of them is below exp(-72) of that one, and all together below what a double can tell.
+    """
+    hits_a, n_a, hits_b, n_b = (c.cast("long") for c in (hits_a, n_a, hits_b, n_b))
     k, n = hits_a + hits_b, n_a + n_b
     choose = lambda a, b: ln_factorial(a) - ln_factorial(b) - ln_factorial(a - b)
-    terms = F.sequence(hits_a.cast("int"), F.least(k, n_a).cast("int"))
-    fits = lambda x: (k - x >= 0) & (k - x <= n_b)
-    return F.aggregate(F.filter(terms, fits), F.lit(0.0), lambda a, x: a + F.exp(choose(n_a, x) + choose(n_b, k - x) - choose(n, k)))
+    mode = F.floor((n_a + 1).cast("double") * (k + 1).cast("double") / (n + 2).cast("double"))
+    far = F.ceil(6 * F.sqrt((n_a + 1).cast("double"))) + 2
+    low, high = F.greatest(hits_a, k - n_b, mode - far), F.least(k, n_a, F.greatest(hits_a, mode) + far)
+    terms = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + F.exp(choose(n_a, x) + choose(n_b, k - x) - choose(n, k)))
 
 
 def is_significant(hits_a: Column, n_a: Column, hits_b: Column, n_b: Column, confidence: float = 0.95) -> Column:
     """False for empty samples and where a is not better."""
-    better = (n_a > 0) & (n_b > 0) & (hits_a * n_b > hits_b * n_a)
+    product = lambda a, b: a.cast("decimal(19,0)") * b.cast("decimal(19,0)")
+    better = (n_a > 0) & (n_b > 0) & (product(hits_a, n_b) > product(hits_b, n_a))
     return F.when(better, permutation_p(hits_a, n_a, hits_b, n_b) < 1 - confidence).otherwise(False)
 
 

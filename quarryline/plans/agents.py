@@ -215,7 +215,7 @@ def cmp_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = stored(results(spark, sf_dir), "results")
     peer, base = (stored(x, "peer") for x in peers(tasks))  # a few folds each
     improving = inspection.fold_comparison(peer, base).agg(F.count_if(F.col("delta") > 0).alias("improving"))
-    both = [x.agg((F.sum("n_resolved") / F.sum("total")).alias(f"rate_{k}"), F.sum("n_resolved").cast("int").alias(f"hits_{k}"), F.sum("total").cast("int").alias(f"n_{k}")) for k, x in (("a", peer), ("b", base))]
+    both = [x.agg((F.sum("n_resolved") / F.sum("total")).alias(f"rate_{k}"), F.sum("n_resolved").alias(f"hits_{k}"), F.sum("total").alias(f"n_{k}")) for k, x in (("a", peer), ("b", base))]
     rates = tasks.groupBy((F.col("id") % 7).alias("technique")).agg(evaluation.share(F.col("resolved")).alias("resolution_rate"))
     whole = tasks.agg(evaluation.share(F.col("resolved")).alias("base"))
     helps = inspection.beneficial_techniques(rates.crossJoin(whole), F.col("base"), 0.001).agg(F.count("*").alias("beneficial"))

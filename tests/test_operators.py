@@ -94,6 +94,16 @@ def test_statistics(spark):
     assert (got.best, got.since, got.stopped_at) == (0.1, 5, 5)
 
 
+def test_significance_of_large_samples(spark):
+    p = lambda *x: spark.range(1).select(stats.is_significant(*map(F.lit, x)).alias("s"), stats.permutation_p(*map(F.lit, x)).alias("p")).first()
+    small = p(50_200, 100_000, 50_000, 100_000)  # products beyond 2^31
+    assert not small.s and small.p == pytest.approx(0.1868, abs=1e-3)
+    assert p(51_000, 100_000, 50_000, 100_000).s
+    large = p(2_000_000_000, 4_000_000_000, 1_999_000_000, 4_000_000_000)  # samples beyond 2^31
+    assert large.s and large.p < 1e-6
+    assert p(30, 100, 60, 100).p == pytest.approx(1.0, abs=1e-4) and p(0, 10, 5, 10).p == pytest.approx(1.0)
+
+
 def test_json_strings_are_those_of_the_standard_library(spark):
     for v in ["", "a", 'q"\\', "é🙂\u2028", "\t\n\r\b\f\x01\x7f", "tab\tand é"]:
         assert one(spark, v, text.json_string) == json.dumps(v)
