@@ -87,6 +87,18 @@ def test_ranking_reads_only_what_can_reach_the_top(spark):
     assert [(r.doc, r.place) for r in out.orderBy("place").collect()] == [(0, 1), (1, 2), (2, 3)]
 
 
+def test_long_texts_are_read_by_one_step_a_letter(spark):
+    import time
+
+    long = "ab🙂\ncé " * 300_000  # 2.1 million letters
+    texts = spark.createDataFrame([(1, long), (2, "c\nd🙂xyz"), (3, "abc"), (4, None)], "k long, t string")
+    needles = spark.createDataFrame([("🙂\ncé a",), ("\nd🙂x",), ("c",), ("🙂z",), ("",), ("é a",)], "needle string")
+    start = time.monotonic()
+    got = sorted(tuple(r) for r in search.containing(texts, "k", "t", needles).collect())
+    assert got == sorted([("🙂\ncé a", 1), ("\nd🙂x", 2), ("c", 1), ("c", 2), ("c", 3), ("é a", 1)])
+    assert time.monotonic() - start < 120
+
+
 def brute_ego(edges, center, least, most):
     near = {}
     for a, b in edges:
