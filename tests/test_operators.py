@@ -104,6 +104,19 @@ def test_significance_of_large_samples(spark):
     assert p(30, 100, 60, 100).p == pytest.approx(1.0, abs=1e-4) and p(0, 10, 5, 10).p == pytest.approx(1.0)
 
 
+def test_items_in_long_texts_are_found_in_one_reading(spark):
+    import time
+
+    from quarryline.operators import inspection
+
+    long = "a  b 🙂 c\nd " * 60_000  # 360,000 parts
+    texts = spark.createDataFrame([(1, long + "x  y z w v"), (2, " lead  two three four five "), (3, "a b"), (4, None), (5, "x  y z w")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "x  y z w v"), (2, " lead  two three"), (3, "b 🙂 c\nd a  b"), (4, "two three four five "), (5, "q  y z w v")], "item_id long, text string")
+    start = time.monotonic()
+    assert sorted(map(tuple, inspection.verbatim(texts, items).collect())) == [(1, 1), (1, 3), (2, 2), (2, 4)]
+    assert time.monotonic() - start < 120
+
+
 def test_json_strings_are_those_of_the_standard_library(spark):
     for v in ["", "a", 'q"\\', "é🙂\u2028", "\t\n\r\b\f\x01\x7f", "tab\tand é"]:
         assert one(spark, v, text.json_string) == json.dumps(v)
