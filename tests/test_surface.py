@@ -177,3 +177,20 @@ def test_progress_rows_match_batches(spark, tmp_path):
         assert table.rows().where("event = 'start'").count() == 1
     finally:
         spark.streams.removeListener(table)
+
+
+def test_late_streams_take_every_id(spark, tmp_path):
+    import duckdb
+
+    from quarryline.plans import surface
+
+    rows = [(k, f"2024-01-{d:02d} 05:{k % 60:02d}:00", 1, "view", 1.0, "") for d in (1, 20, 29, 30) for k in (-3, -2, 2, 3)]
+    rows += [(None, "2024-01-20 05:30:00", 1, "view", 2.0, "")]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = surface.stream_late(spark, str(tmp_path)).select("start", "event_type", "n", "total").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(surface.ORACLE["stream_late"]).fetchall()
+    plain = lambda rows: sorted((str(r[0])[:19], *r[1:]) for r in rows)
+    assert want and plain(got) == plain(want)
