@@ -137,3 +137,15 @@ def test_shards_of_wide_rows_lose_none(spark):
     same = spark.range(1000).selectExpr("1 as k", "id % 10 as v", "map(id, id) as m")
     rows = [retrieval.sharded(same, "k", k, 3).count() for k in range(3)]
     assert rows == [334, 333, 333] and np.sum(rows) == 1000
+
+
+def test_postings_of_asked_terms_rank_like_all(spark):
+    """An index for some queries lists their terms alone, and weights, hence ranks, are those of the whole index."""
+    files = spark.createDataFrame([(k, f"dir/f{k}", " ".join(f"word{k % m} other{k}" for m in (2, 3, 5, 7))) for k in range(60)], "doc long, path string, text string")
+    queries = spark.createDataFrame([(1, "word1 word2 missing"), (2, "other7 word4")], "q long, text string")
+    whole, own = search.indexed(files), search.indexed(files, asked=queries)
+    asked = {t for r in queries.select(search.code_tokens(queries.text).alias("t")).collect() for t in r.t}
+    terms = lambda index: {r.term for r in index.postings.select("term").distinct().collect()}
+    assert terms(own) == terms(whole) & asked < terms(whole)
+    rows = lambda index: sorted(tuple(r) for r in search.ranked(index, queries, 10).collect())
+    assert rows(own) == rows(whole) and len(rows(own)) == 20
