@@ -24,3 +24,15 @@ def test_patches_are_built_by_one_exchange(spark, name):
     assert counted(df, r"Exchange hashpartitioning\(l_orderkey") == 1
     assert counted(df, r"FileScan parquet \[l_orderkey") == 1
     assert not re.search(r"Exchange hashpartitioning\((l_orderkey\S*, p_brand|id)", plan(df))
+
+
+def test_ranks_list_no_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from quarryline.operators import neighbours
+
+    assert not re.search("NestedLoop|CartesianProduct", plan(QUERIES["agg_mrr_hitk"](spark, SF)))
+    vecs = {0: ([1.0, 0.0], 1), 1: ([1.0, 0.0], 2), 2: ([2.0, 0.0], 1), 3: ([0.0, 1.0], 3), 4: (None, 3), 5: ([-1.0, 0.0], 4), 6: ([1.0, None], None)}
+    df = spark.createDataFrame([(k, v, label) for k, (v, label) in vecs.items()], "id long, vec array<float>, label int")
+    got = {r.key: r.rank for r in neighbours.label_ranks(df, "id", "vec", "label", F.lit(True)).collect()}
+    assert got == {0: 2, 1: None, 2: 1 + 1 - 1, 3: 5, 4: 4, 5: None, 6: None}
