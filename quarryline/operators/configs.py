@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType
 
 from quarryline.functions.text import token_estimate
+from quarryline.session import stored
 from quarryline.sources.readers import loaded
 
 # Keys and tags that are read, limits, endings and names of files.
@@ -95,7 +96,9 @@ def bundle_findings(files: DataFrame, tools: list[str] | None = None, context_to
     """
     ext = extension(F.col("path"))
     yaml = ext.isin(".yaml", ".yml")
+    files = files.select("bundle", "path", "length", "content").repartition("bundle")
     rows = files.select("bundle", "path", "length", ext.alias("ext"), F.when(ext == ".md", token_estimate(F.coalesce("content", F.lit("")))).otherwise(0).alias("tokens"), yaml_facts(F.when(yaml, F.coalesce("content", F.lit("")))).alias("y"))
+    rows = stored(rows, "bundle_files")  # each check below reads them; texts are parsed once
     folder = F.regexp_extract("path", "^(.*/)?[^/]*$", 1)
     found = lambda df, severity, check, detail: df.select("bundle", F.lit(severity).alias("severity"), F.lit(check).alias("check"), detail.alias("detail"))
     path = F.col("path")
