@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import json
 import os
@@ -90,7 +91,11 @@ def notebook_cells(spark: SparkSession, path: str) -> DataFrame:
 def junit_counts(xml: DataFrame, column: str) -> DataFrame:
     """xml with tests, failures, errors, skipped and passed; text that is no report counts nothing."""
     safe = F.when(F.col(column).rlike(r"(?s)^\s*<.*<testsuite\b.*>\s*$|^\s*<testsuite\b.*>\s*$"), F.col(column)).otherwise("<a/>")
-    out = xml.withColumns({k: F.xpath_int(safe, F.lit(f"sum(//testsuite/@{k})")) for k in ("tests", "failures", "errors", "skipped")})
+    names = ("tests", "failures", "errors", "skipped")
+    told = F.xpath_string(safe, F.lit("concat(" + ", ' ', ".join(f"sum(//testsuite/@{k})" for k in names) + ")"))
+    whole = lambda k: F.nanvl(F.get(F.split("_told", " "), F.lit(k)).cast("double"), F.lit(0.0))
+    rows = xml.select("*", F.inline(F.array(F.struct(told.alias("_told")))))  # each report is read once
+    out = rows.withColumns({n: F.least(F.greatest(whole(k), F.lit(-2147483648.0)), F.lit(2147483647.0)).cast("int") for k, n in enumerate(names)}).drop("_told")
     return out.withColumn("passed", F.greatest(F.lit(0), F.col("tests") - F.col("failures") - F.col("errors") - F.col("skipped")))
 
 
@@ -135,23 +140,38 @@ def parsed(value: str) -> bool | int | float | str:
 
 def loaded(text: str, tags: dict[str, type] | None = None) -> object:
     """The value of a YAML text (JSON is YAML). Tags that are not known stand for their value's text; if tags are given, only they do, made by
-    their types, and others make the text unreadable."""
+    their types, and others make the text unreadable. The library's C parser reads first where it is built; what it can't read is the
+    Python parser's to judge."""
     try:
         import yaml
     except ImportError:  # without the library only JSON is read
         return json.loads(text or "null")
+    quick, careful = yaml_readers(None if tags is None else tuple(tags.items()))
+    if quick:
+        try:
+            return yaml.load(text, quick)  # noqa: S506  a safe loader
+        except Exception:  # noqa: S110  judged below
+            pass
+    return yaml.load(text, careful)  # noqa: S506  a safe loader
 
-    class Reader(yaml.SafeLoader):
-        pass
+
+@functools.cache
+def yaml_readers(tags: tuple[tuple[str, type], ...] | None) -> list[type | None]:
+    """The C and the Python loader for some tags, made once; no C loader where the library has none."""
+    import yaml
 
     def plain(loader: yaml.Loader, _: str, node: yaml.Node) -> object:
         return loader.construct_scalar(node) if isinstance(node, yaml.ScalarNode) else loader.construct_sequence(node) if isinstance(node, yaml.SequenceNode) else loader.construct_mapping(node)
 
-    if tags is None:
-        Reader.add_multi_constructor("!", plain)
-    for tag, kind in (tags or {}).items():
-        Reader.add_constructor(tag, lambda loader, node, kind=kind: kind(loader.construct_scalar(node) if isinstance(node, yaml.ScalarNode) else node.value))
-    return yaml.load(text, Reader)  # noqa: S506  a safe loader
+    out = []
+    for base in (getattr(yaml, "CSafeLoader", None), yaml.SafeLoader):
+        reader = base and type("Reader", (base,), {})
+        if reader and tags is None:
+            reader.add_multi_constructor("!", plain)
+        for tag, kind in (tags or ()) if reader else ():
+            reader.add_constructor(tag, lambda loader, node, kind=kind: kind(loader.construct_scalar(node) if isinstance(node, yaml.ScalarNode) else node.value))
+        out.append(reader)
+    return out
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -196,7 +216,7 @@ def yaml_leaves(texts: DataFrame, key: str, text: str) -> DataFrame:
                     out.append((k, None, None, None, type(e).__name__))
             yield pd.DataFrame(out, columns=["key", "path", "name", "value", "error"], dtype=object)
 
-    rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition("key", "text")  # a small file is one task's, its texts are many tasks' work
     return rows.mapInPandas(run, f"key {kind}, path string, name string, value string, error string").withColumnRenamed("key", key)
 
 

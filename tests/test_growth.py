@@ -36,3 +36,23 @@ def test_ranks_list_no_pairs(spark):
     df = spark.createDataFrame([(k, v, label) for k, (v, label) in vecs.items()], "id long, vec array<float>, label int")
     got = {r.key: r.rank for r in neighbours.label_ranks(df, "id", "vec", "label", F.lit(True)).collect()}
     assert got == {0: 2, 1: None, 2: 1 + 1 - 1, 3: 5, 4: 4, 5: None, 6: None}
+
+
+def test_reports_are_read_once(spark):
+    from quarryline.sources import readers
+
+    xml = "<r><testsuite tests='3' failures='1'/><testsuite tests='2.5' errors='x'/></r>"
+    df = readers.junit_counts(spark.createDataFrame([(1, xml), (2, "<testsuite tests='9999999999' skipped='2'/>"), (3, ""), (4, None)], "id int, x string"), "x")
+    assert [tuple(r)[2:] for r in df.orderBy("id").collect()] == [(5, 1, 0, 0, 4), (2147483647, 0, 0, 2, 2147483645), (0, 0, 0, 0, 0), (0, 0, 0, 0, 0)]
+    assert len({x for x in re.findall(r"(?i)xpath\w*", plan(df))}) <= 1 and not re.search("(?i)xpath_?int", plan(df))
+
+
+def test_yaml_is_parsed_once_and_in_many_tasks(spark):
+    from quarryline.sources import readers
+
+    assert "Exchange hashpartitioning" in plan(QUERIES["src_yaml"](spark, SF))
+    assert not re.search("ArrowEvalPython.*yaml_facts", plan(QUERIES["bundle_findings"](spark, SF)))
+    assert readers.yaml_readers(None) is readers.yaml_readers(None)
+    assert readers.loaded("a: !x b\nc: [1, 2.5, null, yes]") == {"a": "b", "c": [1, 2.5, None, True]}
+    with pytest.raises(Exception, match="unclosed|expected"):
+        readers.loaded("key: [unclosed")
