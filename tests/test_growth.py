@@ -56,3 +56,33 @@ def test_yaml_is_parsed_once_and_in_many_tasks(spark):
     assert readers.loaded("a: !x b\nc: [1, 2.5, null, yes]") == {"a": "b", "c": [1, 2.5, None, True]}
     with pytest.raises(Exception, match="unclosed|expected"):
         readers.loaded("key: [unclosed")
+
+
+LINE_QUERIES = ["diff_files", "diff_read_range", "diff_hunks", "win_diff_segments", "diff_parse_hunks", "agg_hunk_lines"]
+
+
+@pytest.mark.parametrize("name", LINE_QUERIES)
+def test_lines_of_patches_are_no_sorted_rows(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert not re.search(r"Window|Exchange hashpartitioning\((?!l_orderkey|l_partkey|p_partkey)", plan(df))
+
+
+def test_pieces_of_odd_diffs_are_those_of_the_sql(spark):
+    """The operators against the windows of the SQL text, on lines in any order."""
+    import random
+
+    from quarryline.operators import diffs
+    from quarryline.plans import texts
+    from quarryline.plans.dialect import SPARK
+
+    draw = random.Random(3)
+    some = ["diff --git a/x.py b/x.py", "diff --git odd", "--- a/x.py", "+++ b/x.py", "@@ -31,2 +1,2 @@", "@@ -5,20 +2 @@ def f", " a", "+b", "-c", "", "+++", "---", "index 1", "\\ none"]
+    rows = [(k, "\n".join(draw.choice(some) for _ in range(draw.randint(0, 24)))) for k in range(400)] + [(400, ""), (401, None)]
+    rows = spark.createDataFrame(rows, "id long, patch string")
+    rows.createOrReplaceTempView("odd_patches")
+    made = {"diff_files": diffs.file_counts, "diff_hunks": diffs.hunk_texts, "win_diff_segments": diffs.hunk_sizes, "diff_read_range": diffs.read_ranges}
+    for name, operator in made.items():
+        text = re.sub(r"(\d)D\b", r"\1e0", texts.QUERIES[name](SPARK)).replace(texts.patches(SPARK), "patches AS (SELECT id, patch FROM odd_patches)")
+        want = spark.sql(text)
+        got = operator(rows, "id", "patch").select(want.columns)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))), name
