@@ -112,9 +112,10 @@ def nudges(turns: DataFrame, most: int = 3) -> DataFrame:
 def compacted(turns: DataFrame, limit: int = 14336, retain: int = 5) -> DataFrame:
     """(conv_id, turn, kept): where a conversation's tokens exceed limit, only its first and its last retain turns stay as they are."""
     whole = Window.partitionBy("conv_id")
-    back = F.row_number().over(whole.orderBy(F.desc("turn")))
-    first = F.row_number().over(whole.orderBy("turn")) == 1
-    return turns.select("conv_id", "turn", ((F.sum("tokens").over(whole) <= limit) | (back <= retain) | first).alias("kept"))
+    place = F.row_number().over(whole.orderBy("turn"))  # one order for both ends: sorts of one partition would be held at once
+    rows = turns.select("conv_id", "turn", "tokens", place.alias("place"))
+    rows = rows.select("conv_id", "turn", "place", F.sum("tokens").over(whole).alias("total"), F.count("*").over(whole).alias("n"))
+    return rows.select("conv_id", "turn", ((F.col("total") <= limit) | (F.col("place") > F.col("n") - retain) | (F.col("place") == 1)).alias("kept"))
 
 
 def nearest_to_median(df: DataFrame, value: str, key: str) -> DataFrame:
