@@ -18,8 +18,10 @@ KIND_KEYS = ["type", "kind", "relation", "label", "edge_type", "rel"]
 def normal_edges(edges: DataFrame, key: str) -> DataFrame:
     """(key, source, target, type) of edges (key, edge: map of texts) under any of the known names; one edge for each pair of ends."""
     first = lambda keys: F.coalesce(*(F.try_element_at("edge", F.lit(k)) for k in keys))
+    edges = edges.select(key, F.inline(F.array(F.struct("edge"))))  # a map that is made on the way is made once, not for each name
     rows = edges.select(key, first(SOURCE_KEYS).alias("source"), first(TARGET_KEYS).alias("target"), F.coalesce(first(KIND_KEYS), F.lit("edge")).alias("type"))
-    return rows.where("source is not null and target is not null").groupBy(key, "source", "target").agg(F.max("type").alias("type"))
+    rows = rows.where("source is not null and target is not null").repartition(key, "target")  # a sort of one exchange's rows, which counts by target need too
+    return rows.groupBy(key, "source", "target").agg(F.max("type").alias("type"))
 
 
 def node_tail(node: Column) -> Column:

@@ -86,3 +86,13 @@ def test_pieces_of_odd_diffs_are_those_of_the_sql(spark):
         want = spark.sql(text)
         got = operator(rows, "id", "patch").select(want.columns)
         assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect()))), name
+
+
+def test_edges_are_normalised_once(spark):
+    df = QUERIES["graph_edges"](spark, SF)
+    assert counted(df, "FileScan parquet") == 1 and counted(df, r"Exchange hashpartitioning\(graph") == 2
+
+
+def test_compaction_sorts_turns_by_one_order(spark):
+    df = QUERIES["win_compaction"](spark, SF)
+    assert counted(df, r"Sort \[") == 2  # the query's own row numbers, and the turns
