@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions import scorers
 from quarryline.functions.text import token_estimate
 from quarryline.operators import context, mergeable, significance
-from quarryline.session import sql, stored, table
+from quarryline.session import shared_folder, sql, table
 from quarryline.streaming import telemetry
 
 
@@ -49,12 +51,14 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = events.agg(F.min(second), F.max(second)).first()
     fresh = second >= (low + high) // 2
     even = F.coalesce(F.col("event_id") % 2 == 0, F.lit(False))  # all other ids come second, also negative and missing ones
+    folder = f"{shared_folder(spark)}/arrivals-{uuid.uuid4().hex}"
     parts = [events.where(fresh & even), events.where(fresh & ~even), events.where(~fresh)]
-    folder = stored(parts[0].coalesce(1), "arrivals").inputFiles()[0].rpartition("/")[0]
-    for part in parts[1:]:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return telemetry.drained(telemetry.windowed_counts(arriving, late="2 days"), "append")
+    if parts[0].isEmpty():  # nothing tells what is late, so by the SQL nothing old counts
+        parts.pop()
+    parts[0].write.parquet(folder)
+    arrivals = [lambda part=part: part.write.mode("append").parquet(folder) for part in parts[1:]]
+    arriving = spark.readStream.schema(events.schema).parquet(folder)
+    return telemetry.drained(telemetry.windowed_counts(arriving, late="2 days"), "append", arrivals)
 
 
 QUERIES = {f.__name__: f for f in (agg_permutation, agg_permutation_lengths, agg_moments, score_turns, win_compactions, stream_late)}
