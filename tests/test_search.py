@@ -149,3 +149,14 @@ def test_postings_of_asked_terms_rank_like_all(spark):
     assert terms(own) == terms(whole) & asked < terms(whole)
     rows = lambda index: sorted(tuple(r) for r in search.ranked(index, queries, 10).collect())
     assert rows(own) == rows(whole) and len(rows(own)) == 20
+
+
+def test_a_common_definition_is_not_met_with_all_its_queries(spark):
+    """Files that share a definition are no candidates of every query that names it, where better ones are known; needles of any length are found."""
+    files = [(k, f"src/some/long/folder/module_{k}.py", f"def common_name():\n  pass\ndef own_{k // 20}_name():\n  pass") for k in range(3000)]
+    queries = [(q, f"common_name and own_{q}_name fail in src/some/long/folder/module_{q}.py") for q in range(40)]
+    left, right = spark.createDataFrame(files, "doc long, path string, text string"), spark.createDataFrame(queries, "q long, text string")
+    boosts = search.mentions(left, right)
+    assert boosts.told.count() == 40
+    got = search.ranked(search.indexed(left, asked=right), right, 3, boosts)
+    assert sorted(map(tuple, got.collect())) == sorted(brute_ranks(files, queries, 3, True))
